@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
@@ -195,6 +197,33 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on, and would hold its largest block's memory beside the next stage's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def lean(run):
+    """A function of one or two tables that releases memory when it is done. Spark counts its arguments."""
+    def one(table):
+        try:
+            return run(table)
+        finally:
+            release()
+
+    def two(left, right):
+        try:
+            return run(left, right)
+        finally:
+            release()
+
+    return two if run.__code__.co_argcount == 2 else one
+
+
 def slices(batches, text: str = "text", most: int = 8 << 20):
     """Cut record batches so that each piece holds at most so many bytes of text, or one row."""
     for batch in batches:
@@ -203,3 +232,4 @@ def slices(batches, text: str = "text", most: int = 8 << 20):
             stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
             yield batch.slice(at, stop - at)
             at = stop
+    release()

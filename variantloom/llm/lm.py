@@ -212,6 +212,6 @@ def score_texts(docs: DataFrame, order: int = ORDER, mass: tuple = MASS, held_ou
     blocks, shards = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
     n = C.parts(spark, total, 32 << 20)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
-    asked = texts.groupBy("block").applyInArrow(_ask(shards, order, held_out), "shard int, block int, payload binary")
-    answers = asked.groupBy("shard").applyInArrow(_answer(order), "block int, shard int, payload binary")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order, held_out, mass), SCHEMA)
+    asked = texts.groupBy("block").applyInArrow(C.lean(_ask(shards, order, held_out)), "shard int, block int, payload binary")
+    answers = asked.groupBy("shard").applyInArrow(C.lean(_answer(order)), "block int, shard int, payload binary")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.lean(_score(order, held_out, mass)), SCHEMA)

@@ -17,7 +17,7 @@ from . import common as C
 from .tokens import encoder, ending
 
 WINDOW = 2048
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 
 
 class CapacityTree:
@@ -72,7 +72,7 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 
 def _pieces(path: str, end_id: int, window: int, shards: int):
     def run(batches):
-        for b in C.slices(batches):
+        for b in C.slices(batches, most=4 << 20):
             ids, rows = ending(*encoder(path, False).encode(b.column("text")), end_id)
             total = np.diff(rows)
             n = -(-total // window)
@@ -116,7 +116,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW,
     no rows. Memory is that of one shard."""
     shards = max(1, math.ceil(C.text_bytes(docs) / shard_bytes))
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, end_id, window, shards), "shard int, doc_id long, start long, length long, doc_tokens long, packed binary")
-    return pieces.groupBy("shard").applyInArrow(_pack(window), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return pieces.groupBy("shard").applyInArrow(C.lean(_pack(window)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -300,11 +300,11 @@ def link_texts(docs: DataFrame, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES
     blocks, shards = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
     n = C.parts(spark, total, 32 << 20)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
-    asked = texts.groupBy("block").applyInArrow(_ask(shards, k), "shard int, block int, payload binary")
-    answers = asked.groupBy("shard").applyInArrow(_answer, "block int, shard int, payload binary")
-    filed = C.stash(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(shards, k), OUT), "filed", by="kind")
+    asked = texts.groupBy("block").applyInArrow(C.lean(_ask(shards, k)), "shard int, block int, payload binary")
+    answers = asked.groupBy("shard").applyInArrow(C.lean(_answer), "block int, shard int, payload binary")
+    filed = C.stash(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.lean(_file(shards, k)), OUT), "filed", by="kind")
     ids = filed.where("kind = 0").select("doc_id", "sid", F.col("n").alias("n_shingles"))
-    met = filed.where("kind = 2").groupBy("shard").applyInArrow(_meet, "a long, b long")
+    met = filed.where("kind = 2").groupBy("shard").applyInArrow(C.lean(_meet), "a long, b long")
     families = C.stash(components(met).withColumnsRenamed({"node": "sid", "root": "family"}), "families")
     sets = filed.where("kind = 1").groupBy("sid").agg(F.first("n").alias("n"), F.first("payload").alias("payload"))
     member = C.stash(sets.join(families, "sid"), "members")

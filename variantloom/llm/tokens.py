@@ -24,11 +24,14 @@ KIND[39], KIND[128:] = 5, 4
 ODD = np.zeros(256, bool)
 ODD[[0xC2, 0xE1, 0xE2, 0xE3, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 
+#: Pieces given to the library at once: its results are large beside the ids.
+BATCH = 10_000
+
 
 class Encoder:
     """path: a tokenizers file. drops_space: white space gives no tokens and case doesn't matter; else the space before a word belongs to it."""
 
-    def __init__(self, path: str, drops_space: bool, most: int = 1_500_000):
+    def __init__(self, path: str, drops_space: bool, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,7 +88,9 @@ class Encoder:
             new = np.flatnonzero(~known)
             raw = data.tobytes()
             pieces = [raw[starts[i] : starts[i] + lengths[i]].decode("utf-8", "replace") for i in one[new]]
-            ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            ids = []
+            for k in range(0, len(pieces), BATCH):
+                ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces[k : k + BATCH], add_special_tokens=False)]
             n = np.fromiter(map(len, ids), np.int64, len(ids))
             merged = np.concatenate([self.keys, keys[new]])
             by = np.argsort(merged)
