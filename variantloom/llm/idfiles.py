@@ -26,7 +26,7 @@ SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 def _encode(path: str, end_id: int):
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
-        for b in C.slices(batches, most=4 << 20):
+        for b in C.slices(batches, most=1 << 20):
             ids, rows = ending(*encoder(path, True).encode(b.column("text")), end_id)
             n = len(rows) - 1
             yield pa.RecordBatch.from_arrays([

@@ -72,7 +72,7 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 
 def _pieces(path: str, end_id: int, window: int, shards: int):
     def run(batches):
-        for b in C.slices(batches, most=4 << 20):
+        for b in C.slices(batches, most=1 << 20):
             ids, rows = ending(*encoder(path, False).encode(b.column("text")), end_id)
             total = np.diff(rows)
             n = -(-total // window)

@@ -69,7 +69,7 @@ class Ftrl:
 
 def _vectors(bits: int):
     def run(batches):
-        for b in C.slices(batches, most=2 << 20):
+        for b in C.slices(batches, most=1 << 20):
             slot, value, at = features(b.column("text"), bits)
             put = lambda x: [x[i:j].tobytes() for i, j in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([b.column("draw"), b.column("quality"), pa.array(put(slot.astype(np.int32)), pa.binary()), pa.array(put(value.astype(np.float32)), pa.binary())], ["draw", "quality", "slots", "vals"])
@@ -116,7 +116,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, folds: int = F
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** bits numbers, whatever the input
 
     def run(batches):
-        for b in C.slices(batches, most=2 << 20):
+        for b in C.slices(batches, most=1 << 20):
             p = probabilities(b.column("text"), shared.value, bits)
             held = C.remainders(b.column("doc_id").to_pylist(), folds) == test_fold
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(held), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -129,7 +129,7 @@ def keep_good(docs: DataFrame, weights: np.ndarray, bits: int = BITS, least: flo
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        for b in C.slices(batches, most=2 << 20):
+        for b in C.slices(batches, most=1 << 20):
             yield b.filter(pa.array(probabilities(b.column("text"), shared.value, bits) >= least))
 
     return docs.mapInArrow(run, docs.schema)

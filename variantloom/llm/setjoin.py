@@ -27,7 +27,7 @@ from . import common as C
 from .components import components
 
 SHINGLE = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 24 << 20
 FAMILY_SHINGLES = 3_000_000
 #: No two different sets with fewer than 19 shingles together can link.
@@ -82,8 +82,9 @@ def _ask(shards: int, k: int):
         _, first = _signatures(keys, members, rows)
         count = np.bincount(members[C.ragged(rows[first], np.diff(rows)[first])], minlength=len(keys))
         cuts = C.shard_cuts(keys, shards)
-        return pa.table({"shard": pa.array(range(shards), pa.int32()), "block": pa.array([table["block"][0].as_py()] * shards, pa.int32()),
-                         "payload": pa.array([C.pack_sorted(keys[a:b], count[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())})
+        some = np.flatnonzero(np.diff(cuts)).tolist()  # no rows for shards about which there is nothing to ask: rows grow with shingles, not with blocks times shards
+        return pa.table({"shard": pa.array(some, pa.int32()), "block": pa.array([table["block"][0].as_py()] * len(some), pa.int32()),
+                         "payload": pa.array([C.pack_sorted(keys[cuts[k] : cuts[k + 1]], count[cuts[k] : cuts[k + 1]]) for k in some], pa.binary())})
     return ask
 
 
@@ -123,16 +124,17 @@ def _file(shards: int, k: int):
         by = np.argsort(token, kind="stable")
         token, who, where = token[by], who[by], where[by]
         cuts = C.shard_cuts(token, shards)
-        postings = [C.pack_sorted(token[a:b], sid[first][who[a:b]], n[who[a:b]], where[a:b]) for a, b in zip(cuts, cuts[1:])]
+        some = np.flatnonzero(np.diff(cuts))
+        postings = [C.pack_sorted(token[a:b], sid[first][who[a:b]], n[who[a:b]], where[a:b]) for a, b in zip(cuts[some].tolist(), cuts[some + 1].tolist())]
         used = np.unique(who)
         sets = [keys[place[begin[i] : begin[i] + n[i]]].tobytes() for i in used.tolist()]
-        d, s, p = texts.num_rows, len(used), shards
+        d, s, p = texts.num_rows, len(used), len(some)
         return pa.table({
             "kind": np.repeat(np.array([0, 1, 2], np.int32), [d, s, p]),
             "doc_id": pa.concat_arrays([texts["doc_id"].combine_chunks().cast(pa.int64()), pa.nulls(s + p, pa.int64())]),
             "sid": np.concatenate([_signed(sid), _signed(sid[first[used]]), np.zeros(p, np.int64)]),
             "n": np.concatenate([size, n[used], np.zeros(p, np.int64)]).astype(np.int64),
-            "shard": np.concatenate([np.zeros(d + s, np.int32), np.arange(p, dtype=np.int32)]),
+            "shard": np.concatenate([np.zeros(d + s, np.int32), some.astype(np.int32)]),
             "payload": pa.concat_arrays([pa.nulls(d, pa.binary()), pa.array(sets, pa.binary()), pa.array(postings, pa.binary())]),
         }, schema=_OUT)
     return file

@@ -31,7 +31,7 @@ BATCH = 10_000
 class Encoder:
     """path: a tokenizers file. drops_space: white space gives no tokens and case doesn't matter; else the space before a word belongs to it."""
 
-    def __init__(self, path: str, drops_space: bool, most: int = 1_000_000):
+    def __init__(self, path: str, drops_space: bool, most: int = 500_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,12 +92,11 @@ class Encoder:
             for k in range(0, len(pieces), BATCH):
                 ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces[k : k + BATCH], add_special_tokens=False)]
             n = np.fromiter(map(len, ids), np.int64, len(ids))
-            merged = np.concatenate([self.keys, keys[new]])
-            by = np.argsort(merged)
-            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(n) - n])[by]
-            self.length = np.concatenate([self.length, n])[by]
+            where = at[new]  # both are ascending: a merge, not a sort
+            self.begin = np.insert(self.begin, where, len(self.flat) + np.cumsum(n) - n)
+            self.length = np.insert(self.length, where, n)
             self.flat = np.concatenate([self.flat, *ids])
-            self.keys = merged[by]
+            self.keys = np.insert(self.keys, where, keys[new])
             at = np.searchsorted(self.keys, keys)
         n = self.length[at][place]
         ids = self.flat[C.ragged(self.begin[at][place], n)]
