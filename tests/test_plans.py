@@ -70,7 +70,7 @@ def test_whole_pipeline(spark, tmp_path):
     specs = {}
     for k in (1, 2):
         raw(k).to_parquet(tmp_path / f"raw{k}.parquet")
-        spec = {"input_paths": [str(tmp_path / f"raw{k}.parquet")], "global_channel": "all", "ovwt_min_cells": 20, "ovwt_downsample_wt": 100, "run_check_barcodes": True, "run_barcode_filtered_ovwt": False, "wtvwt_min_cells_per_barcode": 5, "wtvwt_max_barcodes": 2}
+        spec = {"input_paths": [str(tmp_path / f"raw{k}.parquet")], "global_channel": "all", "ovwt_min_cells": 20, "ovwt_downsample_wt": 100, "run_check_barcodes": True, "single_cell_scores_split": "train", "run_barcode_filtered_ovwt": False, "wtvwt_min_cells_per_barcode": 5, "wtvwt_max_barcodes": 2}
         (tmp_path / f"b{k}.yaml").write_text(yaml.safe_dump(spec))
         specs[f"b{k}"] = str(tmp_path / f"b{k}.yaml")
     (tmp_path / "bad.yaml").write_text(yaml.safe_dump({"input_paths": ["nowhere.parquet"]}))
@@ -81,6 +81,12 @@ def test_whole_pipeline(spark, tmp_path):
     z = spark.read.parquet(f"{out}/normalized/b1.parquet").where(f"{LABEL} = 'WT'")
     assert abs(z.agg(F.avg("Cells_Intensity_Mean")).first()[0]) < 1e-9
     assert {r.key for r in spark.read.parquet(f"{out}/models/b1/ovwt").collect()} == {"A1A", "A2A", "M1K"}
+    parts = spark.read.parquet(f"{out}/models/b1/ovwt_splits")
+    n = {(r[LABEL], r.split): r["count"] for r in parts.groupBy(LABEL, "split").count().collect()}
+    assert {r.key: (r.n_train, r.n_eval, r.n_test) for r in spark.read.parquet(f"{out}/models/b1/ovwt").collect()} == {k: tuple(n["WT", s] + n[k, s] for s in ("train", "eval", "test")) for k in ("A1A", "A2A", "M1K")}
+    scored = spark.read.parquet(f"{out}/models/b1/cell_scores")
+    ids = ["meta_source_file", "meta_source_file_idx"]
+    assert scored.count() == scored.join(parts.where("split = 'train'"), ids, "left_semi").count() == sum(k for (_, s), k in n.items() if s == "train")
     assert spark.read.parquet(f"{out}/models/b1/tukey").count() > 0
     assert spark.read.parquet(f"{out}/global/all/anova").where("p_value BETWEEN 0 AND 1").count() == 3
     assert "meta_impact_score" in spark.read.parquet(f"{out}/features/b1/profiles").columns

@@ -65,6 +65,11 @@ def prepare_variants(df: DataFrame, ids, label: str = LABEL, wild_type: str = "W
     return downsample(df, F.col(label) == wild_type, downsample_wt, ids, seed)
 
 
+def variant_splits(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", seed: int = 42, **prepare) -> DataFrame:
+    """The cells that one_vs_wild_type uses with these arguments, and each one's part in `split`: a cell's part is the same under every model that sees it."""
+    return stratified_split(prepare_variants(df, ids, label, wild_type, seed=seed, **prepare), label, SHARES, ids, seed)
+
+
 def one_vs_wild_type(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", params: Params = Params(), seed: int = 42, **prepare) -> DataFrame:
     """key = variant: a model that tells the wild type from it. The wild-type cells (bounded by downsample_wt) are repeated for each variant."""
     features = measured_columns(df)

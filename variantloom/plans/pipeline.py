@@ -97,15 +97,17 @@ def global_select_stage(profiles: list[DataFrame], block_lists: list[DataFrame],
 
 
 def classifier_stage(cells: DataFrame, batch: BatchConfig) -> dict[str, DataFrame]:
-    """Models of the batch by its gates; cell scores, the barcode check and the models after it."""
+    """Models of the batch by its gates; scores of the cells of one part (`single_cell_scores_split`), the barcode check and the models after it."""
     v, on, out = batch.values, batch.gates(), {}
     prepare = {"min_cells": v["ovwt_min_cells"], "downsample_wt": v["ovwt_downsample_wt"], "cap_wt": v["max_cells_per_barcode_wt"], "cap_variant": v["max_cells_per_barcode_variant"]}
     if on["run_ovwt"]:
         out["ovwt"] = models.one_vs_wild_type(cells, IDS, **prepare)
         out["ovwt_results"] = out["ovwt"].drop("model", "importance").join(qc.metadata(cells).withColumnRenamed(LABEL, "key"), "key", "left")
         out["ovwt_importance"] = models.importance_table(out["ovwt"])
+        splits = models.variant_splits(cells, IDS, **prepare)
+        out["ovwt_splits"] = splits.select(*IDS, LABEL, "split")
         if on["run_single_cell_scores"]:
-            out["cell_scores"] = models.score_cells(cells, out["ovwt"])
+            out["cell_scores"] = models.score_cells(splits.where(F.col("split") == v["single_cell_scores_split"]).drop("split"), out["ovwt"])
         if on["run_check_barcodes"]:
             out["tukey"] = comparisons.tukey(models.own_score(out["cell_scores"]), v["barcode_check_alpha"], min_cells=v["barcode_check_min_cells"])
             out["barcode_block_list"] = comparisons.barcode_block_list(out["tukey"], v["barcode_blocklist_pvalue_threshold"])

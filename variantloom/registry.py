@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions.naming import BARCODE, BATCH, CONTROL, LABEL, add_control
 from .functions.variant import classify_variant, untagged_synonymous
-from .functions.vectors import cosine_distance, impact_score, norm
+from .functions.vectors import cosine_distance, impact_score, norm, query_dot
 from .operators import comparisons, models, qc, sampling, selection
 from .operators.aggregate import aggregate
 from .operators.batchcorrect import BatchCorrector
@@ -126,6 +126,21 @@ def stratified_split(spark, sf_dir):
     return sampling.stratified_split(cells(spark, sf_dir), LABEL, models.SHARES, IDS, 42).groupBy(LABEL, "split").agg(F.count("*").alias("n"), F.round(F.sum("Cells_Price"), 2).alias("price"))
 
 
+def ovwt_splits(spark, sf_dir):
+    rows = models.variant_splits(cells(spark, sf_dir), IDS, min_cells=50, downsample_wt=2000)
+    return rows.groupBy(LABEL, "split").agg(F.count("*").alias("n"), F.round(F.sum("Cells_Price"), 2).alias("price"))
+
+
+def largest_other(spark, sf_dir):
+    return sampling.to_largest_other(cells(spark, sf_dir), LABEL, "WT", "largest", IDS, 1).groupBy(LABEL).agg(F.count("*").alias("n"), F.round(F.sum("Cells_Price"), 2).alias("price"))
+
+
+def without_blocked_barcodes(spark, sf_dir):
+    c = cells(spark, sf_dir)
+    blocked = c.groupBy(F.col(BARCODE).alias("barcode")).agg((F.count("*") % 3 != 0).alias("barcode_ok"))
+    return sampling.exclude_barcodes(c, blocked).groupBy(BARCODE).agg(F.count("*").alias("n"))
+
+
 def _halves(spark, sf_dir, seed=5):
     h = sampling.replicate_halves(add_control(cells(spark, sf_dir)), [seed], IDS)
     return [aggregate(h.where(F.col("half") == k).select(LABEL, CONTROL, *FEATURES), "mean") for k in (1, 2)]
@@ -159,6 +174,15 @@ def batch_correct(spark, sf_dir):
     return _rounded(BatchCorrector.fit(c, FEATURES).transform(c).groupBy(LABEL, BATCH).agg(*(F.avg(f).alias(f) for f in FEATURES), F.count("*").alias("n")), 4)
 
 
+def batch_centroids(spark, sf_dir):
+    found = BatchCorrector.fit(cells(spark, sf_dir).select(LABEL, BATCH, *FEATURES), FEATURES)
+    return _rounded(found.centroids.select(LABEL, *(F.col(f"{k}{i}").alias(f"{f}_{name}") for i, f in enumerate(FEATURES) for k, name in (("m", "mean"), ("s", "std")))))
+
+
+def joined_feature_types(spark, sf_dir):
+    return _rounded(selection.join_feature_types([aggregate(controlled(spark, sf_dir), t) for t in ("mean", "std")]))
+
+
 def anova_f(spark, sf_dir):
     return _rounded(comparisons.anova_f(comparisons.control_variants(cells(spark, sf_dir)), BATCH, FEATURES), 4)
 
@@ -197,6 +221,11 @@ def vector_norms(spark, sf_dir):
     return _rounded(v.select("meta_id", norm(names).alias("norm"), cosine_distance(names, dict.fromkeys(names, 1.0)).alias("distance")))
 
 
+def query_dots(spark, sf_dir):
+    names = [f"x{i}" for i in range(64)]
+    return _rounded(_vectors(spark, sf_dir).select("meta_id", query_dot(names, {f"x{i}": i % 3 - 1.0 for i in range(64)}).alias("dot")))
+
+
 def pca_variance(spark, sf_dir):
     return _rounded(pca(_vectors(spark, sf_dir), 10, "meta_id", [f"x{i}" for i in range(64)])[2])
 
@@ -225,8 +254,8 @@ cell_scores = _model("cell_scores", lambda c: models.score_cells(c, models.one_v
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     mean_profile, qc_cells, qc_barcodes, qc_variants, variant_classes, metadata, normalizer, control_by_predicate,
     *(_profile(n) for n in ("mean", "median", "MAD", "std", "KS", "signedKS", "QQ", "AUROC")), *(_profile(n, 4) for n in ("KSnegLogP", "AUROCnegLogP")),
-    selected_variants, random_barcodes, pseudo_variants, control_downsample, barcode_cap, min_cells, stratified_split, halves_correlation, bootstrap_block_list,
-    cross_batch_median, agreed_block_list, batch_correct, anova_f, anova, tukey_q, tukey, barcode_block_list, impact_scores, vector_norms, pca_variance, select_features,
+    selected_variants, random_barcodes, pseudo_variants, control_downsample, barcode_cap, min_cells, largest_other, without_blocked_barcodes, stratified_split, ovwt_splits, halves_correlation, bootstrap_block_list,
+    cross_batch_median, agreed_block_list, joined_feature_types, batch_centroids, batch_correct, anova_f, anova, tukey_q, tukey, barcode_block_list, impact_scores, vector_norms, query_dots, pca_variance, select_features,
     one_vs_wild_type, wild_type_pairs, wild_type_vs_pool, batch_vs_batch, cell_scores)}
 
 
@@ -296,4 +325,10 @@ ORACLES: dict[str, str] = {
     "tukey_q": f"{WITH}, e AS (SELECT meta_aa_changes AS variant, meta_barcode AS barcode, count(*) AS n, avg(Cells_Quantity / 50) AS m, sum(Cells_Quantity / 50) AS s, sum((Cells_Quantity / 50) ** 2) AS q2 FROM cells GROUP BY 1, 2 HAVING count(*) >= 10), p AS (SELECT variant, sum(q2 - s * s / n) / (sum(n) - count(*)) AS mse, (sum(n) - count(*))::BIGINT AS df, count(*) AS k FROM e GROUP BY 1 HAVING count(*) >= 2) SELECT a.variant, a.barcode, b.barcode AS comparison_barcode, round(b.m - a.m, 6) AS mean_diff, round(abs(b.m - a.m) / sqrt(mse / 2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n)), 6) AS q, k, df FROM e a JOIN e b ON a.variant = b.variant AND a.barcode < b.barcode JOIN p ON p.variant = a.variant",
     "impact_scores": f"WITH {E}, m AS {MED} SELECT vec_id AS meta_id, round((1 - ({_sum('x@ * c@')}) / (sqrt({_sum('x@ * x@')}) * sqrt({_sum('c@ * c@')}))) / 2, 6) AS meta_impact_score FROM e, m",
     "vector_norms": f"WITH {E} SELECT vec_id AS meta_id, round(sqrt({_sum('x@ * x@')}), 6) AS norm, round(1 - ({_sum('x@')}) / (sqrt({_sum('x@ * x@')}) * 8), 6) AS distance FROM e",
+    "largest_other": f"{WITH}, p AS (SELECT *, row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=1)}, {ORDER}) AS k FROM cells), m AS (SELECT max(n) AS most FROM (SELECT count(*) AS n FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY meta_aa_changes)) SELECT meta_aa_changes, count(*) AS n, round(sum(Cells_Price), 2) AS price FROM p, m WHERE meta_aa_changes <> 'WT' OR k <= most GROUP BY 1",
+    "without_blocked_barcodes": f"{WITH} SELECT meta_barcode, count(*) AS n FROM cells GROUP BY 1 HAVING count(*) % 3 <> 0",
+    "ovwt_splits": f"{WITH}, k AS (SELECT *, row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) AS k, count(*) OVER (PARTITION BY meta_aa_changes) AS size FROM cells), p AS (SELECT *, (row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY meta_aa_changes) AS x FROM k WHERE CASE WHEN meta_aa_changes = 'WT' THEN k <= 2000 ELSE size >= 50 END) SELECT meta_aa_changes, CASE WHEN x < 0.8::DOUBLE THEN 'train' WHEN x < 0.8::DOUBLE + 0.1::DOUBLE THEN 'eval' ELSE 'test' END AS split, count(*) AS n, round(sum(Cells_Price), 2) AS price FROM p GROUP BY 1, 2",
+    "joined_feature_types": f"{WITH} SELECT meta_aa_changes, {_each('round(avg(@), 6)', 'mean')}, {_each('round(stddev_samp(@), 6)', 'std')} FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY 1",
+    "batch_centroids": f"{WITH}, s AS (SELECT meta_aa_changes, meta_batch, {_bc(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in FEATURES)} FROM cells GROUP BY 1, 2) SELECT meta_aa_changes, {_each('round(avg(m_@), 6)', 'mean')}, {_each('round(avg(s_@), 6)', 'std')} FROM s GROUP BY 1 HAVING count(*) > 1",
+    "query_dots": f"WITH {E} SELECT vec_id AS meta_id, round({' + '.join(f'x{i} * {i % 3 - 1}' for i in range(64))}, 6) + 0.0::DOUBLE AS dot FROM e",
 }
