@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from variantloom.functions.naming import CONTROL, LABEL
 from variantloom.operators import boosting, comparisons, models, qc, sampling, selection
-from variantloom.operators.aggregate import AGGREGATORS, aggregate
+from variantloom.operators.aggregate import AGGREGATORS, aggregate, ranks
 from variantloom.operators.batchcorrect import BatchCorrector
 from variantloom.operators.embedding import pca
 from variantloom.operators.normalize import Normalizer
@@ -50,6 +50,15 @@ def test_rank_statistics_against_brute_force(spark, pool):
         assert got["AUROCnegLogP"][g] == pytest.approx(-math.log10(math.erfc(abs(z) / math.sqrt(2))), abs=1e-5)
 
 
+def test_ranks_are_the_same_in_windows_and_in_packed_features(spark, pool):
+    ref, groups = pool
+    rows = [("WT", True, v, -v, None) for v in ref] + [(g, False, v, 0.0, 1.0) for g, vs in groups.items() for v in vs] + [(None, False, 0.5, -0.0, NAN), ("Z", None, 3.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, f"{LABEL} string, {CONTROL} boolean, `f.1` double, f2 double, f3 double").repartition(3)
+    got, want = ({(r[0] or "", r["feature"]): tuple(r)[2:] for r in ranks(df, LABEL, ["f.1", "f2", "f3"], n).collect()} for n in (10**6, 0))
+    assert set(got) == set(want) and ("", "f2") in got and not any(f == "f3" for _, f in got)
+    assert all(got[k] == pytest.approx(want[k]) for k in got)
+
+
 def test_quantile_correlation(spark, pool):
     ref, groups = pool
     got = values(aggregate(labelled(spark, groups, ref), "QQ"), "QQ")

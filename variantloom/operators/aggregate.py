@@ -1,22 +1,29 @@
 """Profiles of variants: ten statistics of each feature over a variant's cells, some against all control cells.
 
-Rank statistics (KS and AUROC, with signs and p-values) share one plan. Values are first counted by feature, label and
-value. Each feature's range is cut into buckets at approximate quantiles; running counts are windows inside a bucket plus
-the totals of the buckets before it, so no window has to hold a whole feature. Equal values always fall in one bucket."""
+Rank statistics (KS and AUROC, with signs and p-values) share one plan, chosen by the counted number of cells. Up to
+FEATURE_CELLS of them, cells leave their task as one packed row for each feature, and a task ranks a whole feature in numpy.
+Beyond, values are first counted by feature, label and value. Each feature's range is cut into buckets at approximate
+quantiles; running counts are windows inside a bucket plus the totals of the buckets before it, so no window has to hold a
+whole feature. Equal values always fall in one bucket."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.naming import CONTROL, LABEL, col, feature_columns, finite, to_long
 from ..functions.special import neg_log10_kolmogorov, neg_log10_two_sided_normal
 from .normalize import CHUNK
 
 BUCKETS = 64
+#: A task may hold one feature of so many cells: 12 bytes for each, and some times that while they are ranked.
+FEATURE_CELLS = 2_000_000
 QUANTILES = 100
 
 
@@ -78,44 +85,103 @@ def rank_counts(df: DataFrame, label: str, features: list[str], buckets: int = B
     return own.where("n_r > 0").select(F.col("label").alias(label), "feature", "v", F.col("n").alias("c_eq"), (F.col("c_in") + F.col("c_before")).alias("c_le"), "n_g", "r_eq", (F.col("r_in") + F.col("r_before")).alias("r_le"), "n_r", "tie")
 
 
-def _ks(df, label, features) -> DataFrame:
-    c = rank_counts(df, label, features).withColumns({
-        "up": F.col("c_le") / F.col("n_g") - F.col("r_le") / F.col("n_r"), "down": (F.col("r_le") - F.col("r_eq")) / F.col("n_r") - (F.col("c_le") - F.col("c_eq")) / F.col("n_g")})
-    return c.groupBy(label, "feature").agg(F.greatest(F.max("up"), F.lit(0.0)).alias("up"), F.greatest(F.max("down"), F.lit(0.0)).alias("down"), F.first("n_g").cast("double").alias("n_g"), F.first("n_r").cast("double").alias("n_r"))
+def _packed(width: int):
+    """Batches of (label, control, features) to one row for each feature: the finite values, their labels' places in `names` (-1: a control), and the names."""
+    def run(batches):
+        for b in batches:
+            label, control = b.column(0).dictionary_encode(null_encoding="encode"), b.column(1)
+            known = control.is_valid().to_numpy(zero_copy_only=False)
+            code = np.where(control.fill_null(False).to_numpy(zero_copy_only=False), -1, label.indices.to_numpy()).astype(np.int32)
+            values, codes = [], []
+            for i in range(width):
+                v = b.column(2 + i).to_numpy(zero_copy_only=False).astype(float)  # null: NaN
+                ok = np.isfinite(v) & known
+                values.append(v[ok].tobytes())
+                codes.append(code[ok].tobytes())
+            names = pa.concat_arrays([label.dictionary] * width) if width else label.dictionary
+            at = pa.array(np.arange(width + 1, dtype=np.int32) * len(label.dictionary))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.ListArray.from_arrays(at, names), pa.array(codes, pa.binary()), pa.array(values, pa.binary())], ["feature", "names", "codes", "vals"])
+    return run
+
+
+def _ranked(features: list[str]):
+    """All packed rows of a feature to one row for each label that has a value, if the controls have one."""
+    def run(table: pa.Table) -> pa.Table:
+        lists = table["names"].combine_chunks()
+        names = lists.flatten().dictionary_encode(null_encoding="encode")
+        place, at = names.indices.to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        codes = []
+        for k, packed in enumerate(table["codes"].to_pylist()):
+            c = np.frombuffer(packed, np.int32)
+            codes.append(np.where(c < 0, -1, place[at[k] + np.maximum(c, 0)]) if at[k + 1] > at[k] else c)
+        code, v = np.concatenate(codes), np.concatenate([np.frombuffer(x) for x in table["vals"].to_pylist()])
+        ref, own, code = np.sort(v[code < 0]), v[code >= 0], code[code >= 0]
+        if not len(ref) or not len(own):
+            code = ref = own = v[:0]
+            out = [v[:0]] * 6
+        else:
+            by = np.lexsort((own, code))
+            own, code = own[by], code[by]
+            run_at = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (code[1:] != code[:-1])))  # equal values of a label
+            n = np.diff(run_at, append=len(own)).astype(float)
+            own, code = own[run_at], code[run_at].astype(np.int64)
+            fresh = np.append(True, code[1:] != code[:-1])
+            first, which = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+            n_g, n_r = np.add.reduceat(n, first), float(len(ref))
+            c_le = np.cumsum(n)
+            c_le -= (c_le - n)[first][which]
+            r_lt, r_le = np.searchsorted(ref, own, "left").astype(float), np.searchsorted(ref, own, "right").astype(float)
+            r = r_le - r_lt
+            t = np.diff(np.flatnonzero(np.append(True, ref[1:] != ref[:-1])), append=len(ref)).astype(float)
+            up = np.maximum.reduceat(c_le / n_g[which] - r_le / n_r, first)
+            down = np.maximum.reduceat(r_lt / n_r - (c_le - n) / n_g[which], first)
+            u = np.add.reduceat(n * (r_lt + 0.5 * r), first)
+            tie = (t**3 - t).sum() + np.add.reduceat((n + r) ** 3 - (n + r) - (r**3 - r), first)
+            code, out = code[first], [np.maximum(up, 0.0), np.maximum(down, 0.0), u, n_g, np.full(len(n_g), n_r), tie]
+        named = names.dictionary.take(pa.array(code.astype(np.int64)))
+        return pa.Table.from_arrays([named, pa.array([features[table["feature"][0].as_py()]] * len(named), pa.string()), *map(pa.array, out)], ["_l", "feature", "up", "down", "u", "n_g", "n_r", "tie"])
+    return run
+
+
+def ranks(df: DataFrame, label: str, features: list[str], most_cells: int = FEATURE_CELLS) -> DataFrame:
+    """(label, feature): up and down, the largest differences of the distribution functions; u, pairs in which the label's value is above a control's (ties count half); sizes n_g and n_r; tie, the joint sum of t^3 - t."""
+    if features and df.count() <= most_cells:
+        wide = df.select(F.col(label).alias("_l"), F.col(CONTROL), *(col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)))
+        kind = df.schema[label].dataType
+        packed = wide.mapInArrow(_packed(len(features)), T.StructType([T.StructField("feature", T.IntegerType()), T.StructField("names", T.ArrayType(kind)), T.StructField("codes", T.BinaryType()), T.StructField("vals", T.BinaryType())]))
+        schema = T.StructType([T.StructField("_l", kind), T.StructField("feature", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in ("up", "down", "u", "n_g", "n_r", "tie"))])
+        return packed.groupBy("feature").applyInArrow(_ranked(features), schema).withColumnRenamed("_l", label)
+    x = lambda c: F.col(c).cast("double")
+    both = x("c_eq") + x("r_eq")
+    return rank_counts(df, label, features).groupBy(label, "feature").agg(
+        F.greatest(F.max(F.col("c_le") / F.col("n_g") - F.col("r_le") / F.col("n_r")), F.lit(0.0)).alias("up"),
+        F.greatest(F.max((F.col("r_le") - F.col("r_eq")) / F.col("n_r") - (F.col("c_le") - F.col("c_eq")) / F.col("n_g")), F.lit(0.0)).alias("down"),
+        F.sum(x("c_eq") * (x("r_le") - x("r_eq") + 0.5 * x("r_eq"))).alias("u"), F.first(x("n_g")).alias("n_g"), F.first(x("n_r")).alias("n_r"),
+        (F.first("tie") + F.sum((both * both * both - both) - (x("r_eq") * x("r_eq") * x("r_eq") - x("r_eq")))).alias("tie"))
 
 
 def ks(df, label, features):
-    return _spread(_ks(df, label, features).withColumn("value", F.greatest("up", "down")), df, label, features, "KS")
+    return _spread(ranks(df, label, features).withColumn("value", F.greatest("up", "down")), df, label, features, "KS")
 
 
 def signed_ks(df, label, features):
-    return _spread(_ks(df, label, features).withColumn("value", F.when(F.col("up") >= F.col("down"), F.col("up")).otherwise(-F.col("down"))), df, label, features, "signedKS")
+    return _spread(ranks(df, label, features).withColumn("value", F.when(F.col("up") >= F.col("down"), F.col("up")).otherwise(-F.col("down"))), df, label, features, "signedKS")
 
 
 def ks_neg_log_p(df, label, features):
     n_e = F.col("n_g") * F.col("n_r") / (F.col("n_g") + F.col("n_r"))
-    return _spread(_ks(df, label, features).withColumn("value", neg_log10_kolmogorov(F.greatest("up", "down"), n_e)), df, label, features, "KSnegLogP")
-
-
-def _u(df, label, features) -> DataFrame:
-    """U of each label over the controls (ties count half), sizes, and the joint sum of t^3 - t."""
-    x = lambda c: F.col(c).cast("double")
-    both = x("c_eq") + x("r_eq")
-    c = rank_counts(df, label, features)
-    return c.groupBy(label, "feature").agg(
-        F.sum(x("c_eq") * (x("r_le") - x("r_eq") + 0.5 * x("r_eq"))).alias("u"), F.first(x("n_g")).alias("n_g"), F.first(x("n_r")).alias("n_r"),
-        (F.first("tie") + F.sum((both * both * both - both) - (x("r_eq") * x("r_eq") * x("r_eq") - x("r_eq")))).alias("tie"))
+    return _spread(ranks(df, label, features).withColumn("value", neg_log10_kolmogorov(F.greatest("up", "down"), n_e)), df, label, features, "KSnegLogP")
 
 
 def auroc(df, label, features):
-    return _spread(_u(df, label, features).withColumn("value", F.try_divide(F.col("u"), F.col("n_g") * F.col("n_r"))), df, label, features, "AUROC")
+    return _spread(ranks(df, label, features).withColumn("value", F.try_divide(F.col("u"), F.col("n_g") * F.col("n_r"))), df, label, features, "AUROC")
 
 
 def auroc_neg_log_p(df, label, features):
     n = F.col("n_g") + F.col("n_r")
     var = F.col("n_g") * F.col("n_r") / 12.0 * ((n + 1) - F.try_divide(F.col("tie"), n * (n - 1)))
     z = F.try_divide(F.col("u") - F.col("n_g") * F.col("n_r") / 2.0, F.sqrt(F.when(var > 0, var)))
-    return _spread(_u(df, label, features).withColumn("value", F.when(z.isNotNull(), neg_log10_two_sided_normal(z))), df, label, features, "AUROCnegLogP")
+    return _spread(ranks(df, label, features).withColumn("value", F.when(z.isNotNull(), neg_log10_two_sided_normal(z))), df, label, features, "AUROCnegLogP")
 
 
 def qq(df, label, features, n_quantiles: int = QUANTILES):
