@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from variantloom.functions.naming import CONTROL, LABEL
 from variantloom.operators import boosting, comparisons, models, qc, sampling, selection
-from variantloom.operators.aggregate import AGGREGATORS, aggregate, ranks
+from variantloom.operators.aggregate import AGGREGATORS, aggregate, qq, ranks
 from variantloom.operators.batchcorrect import BatchCorrector
 from variantloom.operators.embedding import pca
 from variantloom.operators.normalize import Normalizer
@@ -62,6 +62,8 @@ def test_ranks_are_the_same_in_windows_and_in_packed_features(spark, pool):
 def test_quantile_correlation(spark, pool):
     ref, groups = pool
     got = values(aggregate(labelled(spark, groups, ref), "QQ"), "QQ")
+    other = values(qq(labelled(spark, groups, ref), LABEL, ["f1"], most_cells=0), "QQ")
+    assert got.keys() == other.keys() and all(got[k] == pytest.approx(other[k]) for k in got)
     q = np.linspace(0, 1, 100)
     assert got["R"] == pytest.approx(np.corrcoef(np.quantile(groups["R"], q), np.quantile(ref, q))[0, 1])
     assert got["S"] is None

@@ -1,8 +1,8 @@
 """Profiles of variants: ten statistics of each feature over a variant's cells, some against all control cells.
 
-Rank statistics (KS and AUROC, with signs and p-values) share one plan, chosen by the counted number of cells. Up to
-FEATURE_CELLS of them, cells leave their task as one packed row for each feature, and a task ranks a whole feature in numpy.
-Beyond, values are first counted by feature, label and value. Each feature's range is cut into buckets at approximate
+Rank statistics (KS and AUROC, with signs and p-values) share one plan, chosen, as that of QQ, by the counted number of
+cells. Up to FEATURE_CELLS of them, cells leave their task as one packed row for each feature, and a task orders a whole
+feature in numpy. Beyond, QQ takes percentiles by group, and for ranks values are first counted by feature, label and value. Each feature's range is cut into buckets at approximate
 quantiles; running counts are windows inside a bucket plus the totals of the buckets before it, so no window has to hold a
 whole feature. Equal values always fall in one bucket."""
 
@@ -104,53 +104,81 @@ def _packed(width: int):
     return run
 
 
-def _ranked(features: list[str]):
-    """All packed rows of a feature to one row for each label that has a value, if the controls have one."""
+def _unpacked(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """A feature's packed rows: labels, the controls' values in order, and the other values, by label and then in order, with their labels' places."""
+    lists = table["names"].combine_chunks()
+    names = lists.flatten().dictionary_encode(null_encoding="encode")
+    place, at = names.indices.to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    codes = []
+    for k, packed in enumerate(table["codes"].to_pylist()):
+        c = np.frombuffer(packed, np.int32)
+        codes.append(np.where(c < 0, -1, place[at[k] + np.maximum(c, 0)]) if at[k + 1] > at[k] else c)
+    code, v = np.concatenate(codes).astype(np.int64), np.concatenate([np.frombuffer(x) for x in table["vals"].to_pylist()])
+    ref, own, code = np.sort(v[code < 0]), v[code >= 0], code[code >= 0]
+    by = np.lexsort((own, code))
+    return names.dictionary, ref, own[by], code[by]
+
+
+def _by_label(features: list[str], statistics: Callable, columns: list[str]):
+    """All packed rows of a feature to one row for each label that has a value, if the controls have one; statistics: (controls, values, each value's label as a number, where each label begins) to one array for each column."""
     def run(table: pa.Table) -> pa.Table:
-        lists = table["names"].combine_chunks()
-        names = lists.flatten().dictionary_encode(null_encoding="encode")
-        place, at = names.indices.to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        codes = []
-        for k, packed in enumerate(table["codes"].to_pylist()):
-            c = np.frombuffer(packed, np.int32)
-            codes.append(np.where(c < 0, -1, place[at[k] + np.maximum(c, 0)]) if at[k + 1] > at[k] else c)
-        code, v = np.concatenate(codes), np.concatenate([np.frombuffer(x) for x in table["vals"].to_pylist()])
-        ref, own, code = np.sort(v[code < 0]), v[code >= 0], code[code >= 0]
-        if not len(ref) or not len(own):
-            code = ref = own = v[:0]
-            out = [v[:0]] * 6
-        else:
-            by = np.lexsort((own, code))
-            own, code = own[by], code[by]
-            run_at = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (code[1:] != code[:-1])))  # equal values of a label
-            n = np.diff(run_at, append=len(own)).astype(float)
-            own, code = own[run_at], code[run_at].astype(np.int64)
-            fresh = np.append(True, code[1:] != code[:-1])
-            first, which = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-            n_g, n_r = np.add.reduceat(n, first), float(len(ref))
-            c_le = np.cumsum(n)
-            c_le -= (c_le - n)[first][which]
-            r_lt, r_le = np.searchsorted(ref, own, "left").astype(float), np.searchsorted(ref, own, "right").astype(float)
-            r = r_le - r_lt
-            t = np.diff(np.flatnonzero(np.append(True, ref[1:] != ref[:-1])), append=len(ref)).astype(float)
-            up = np.maximum.reduceat(c_le / n_g[which] - r_le / n_r, first)
-            down = np.maximum.reduceat(r_lt / n_r - (c_le - n) / n_g[which], first)
-            u = np.add.reduceat(n * (r_lt + 0.5 * r), first)
-            tie = (t**3 - t).sum() + np.add.reduceat((n + r) ** 3 - (n + r) - (r**3 - r), first)
-            code, out = code[first], [np.maximum(up, 0.0), np.maximum(down, 0.0), u, n_g, np.full(len(n_g), n_r), tie]
-        named = names.dictionary.take(pa.array(code.astype(np.int64)))
-        return pa.Table.from_arrays([named, pa.array([features[table["feature"][0].as_py()]] * len(named), pa.string()), *map(pa.array, out)], ["_l", "feature", "up", "down", "u", "n_g", "n_r", "tie"])
+        names, ref, own, code = _unpacked(table)
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(ref) and len(own) else np.zeros(0, np.int64)
+        out = statistics(ref, own, np.repeat(np.arange(len(first)), np.diff(first, append=len(own))), first) if len(first) else [np.zeros(0)] * len(columns)
+        return pa.Table.from_arrays([names.take(pa.array(code[first])), pa.array([features[table["feature"][0].as_py()]] * len(first), pa.string()), *(pa.array(x, from_pandas=True) for x in out)], ["_l", "feature", *columns])
     return run
 
 
+def _packed_statistics(df: DataFrame, label: str, features: list[str], statistics: Callable, columns: list[str]) -> DataFrame:
+    wide = df.select(F.col(label).alias("_l"), F.col(CONTROL), *(col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)))
+    kind = df.schema[label].dataType
+    packed = wide.mapInArrow(_packed(len(features)), T.StructType([T.StructField("feature", T.IntegerType()), T.StructField("names", T.ArrayType(kind)), T.StructField("codes", T.BinaryType()), T.StructField("vals", T.BinaryType())]))
+    schema = T.StructType([T.StructField("_l", kind), T.StructField("feature", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in columns)])
+    return packed.groupBy("feature").applyInArrow(_by_label(features, statistics, columns), schema).withColumnRenamed("_l", label)
+
+
+def _rank_statistics(ref: np.ndarray, own: np.ndarray, which: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    run_at = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (which[1:] != which[:-1])))  # equal values of a label
+    n = np.diff(run_at, append=len(own)).astype(float)
+    own, which, first = own[run_at], which[run_at], np.searchsorted(run_at, first)
+    n_g, n_r = np.add.reduceat(n, first), float(len(ref))
+    c_le = np.cumsum(n)
+    c_le -= (c_le - n)[first][which]
+    r_lt, r_le = np.searchsorted(ref, own, "left").astype(float), np.searchsorted(ref, own, "right").astype(float)
+    r = r_le - r_lt
+    t = np.diff(np.flatnonzero(np.append(True, ref[1:] != ref[:-1])), append=len(ref)).astype(float)
+    up = np.maximum.reduceat(c_le / n_g[which] - r_le / n_r, first)
+    down = np.maximum.reduceat(r_lt / n_r - (c_le - n) / n_g[which], first)
+    u = np.add.reduceat(n * (r_lt + 0.5 * r), first)
+    tie = (t**3 - t).sum() + np.add.reduceat((n + r) ** 3 - (n + r) - (r**3 - r), first)
+    return [np.maximum(up, 0.0), np.maximum(down, 0.0), u, n_g, np.full(len(n_g), n_r), tie]
+
+
+def _quantile_correlation(points: int):
+    """Null (NaN) where either side's quantiles are all equal."""
+    def statistics(ref: np.ndarray, own: np.ndarray, which: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+        share = np.arange(points) / (points - 1)
+
+        def quantiles(v: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+            at = share * (n[:, None] - 1)
+            low = np.floor(at).astype(np.int64)
+            a, b = v[begin[:, None] + low], v[begin[:, None] + np.minimum(low + 1, n[:, None] - 1)]
+            return a + (b - a) * (at - low)
+
+        y = quantiles(ref, np.zeros(1, np.int64), np.array([len(ref)]))[0]
+        x = quantiles(own, first, np.diff(first, append=len(own)))
+        ok = (x.max(1) > x.min(1)) & (y.max() > y.min())
+        x, y = x - x.mean(1, keepdims=True), y - y.mean()
+        scale = np.sqrt((x * x).sum(1) * (y @ y))
+        ok &= scale > 0
+        return [np.where(ok, x @ y / np.where(ok, scale, 1.0), np.nan)]
+    return statistics
+
+
 def ranks(df: DataFrame, label: str, features: list[str], most_cells: int = FEATURE_CELLS) -> DataFrame:
     """(label, feature): up and down, the largest differences of the distribution functions; u, pairs in which the label's value is above a control's (ties count half); sizes n_g and n_r; tie, the joint sum of t^3 - t."""
     if features and df.count() <= most_cells:
-        wide = df.select(F.col(label).alias("_l"), F.col(CONTROL), *(col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)))
-        kind = df.schema[label].dataType
-        packed = wide.mapInArrow(_packed(len(features)), T.StructType([T.StructField("feature", T.IntegerType()), T.StructField("names", T.ArrayType(kind)), T.StructField("codes", T.BinaryType()), T.StructField("vals", T.BinaryType())]))
-        schema = T.StructType([T.StructField("_l", kind), T.StructField("feature", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in ("up", "down", "u", "n_g", "n_r", "tie"))])
-        return packed.groupBy("feature").applyInArrow(_ranked(features), schema).withColumnRenamed("_l", label)
+        return _packed_statistics(df, label, features, _rank_statistics, ["up", "down", "u", "n_g", "n_r", "tie"])
     x = lambda c: F.col(c).cast("double")
     both = x("c_eq") + x("r_eq")
     return rank_counts(df, label, features).groupBy(label, "feature").agg(
@@ -184,8 +212,10 @@ def auroc_neg_log_p(df, label, features):
     return _spread(ranks(df, label, features).withColumn("value", F.when(z.isNotNull(), neg_log10_two_sided_normal(z))), df, label, features, "AUROCnegLogP")
 
 
-def qq(df, label, features, n_quantiles: int = QUANTILES):
+def qq(df, label, features, n_quantiles: int = QUANTILES, most_cells: int = FEATURE_CELLS):
     """Correlation of a label's quantiles with those of the controls."""
+    if features and df.count() <= most_cells:
+        return _spread(_packed_statistics(df, label, features, _quantile_correlation(n_quantiles), ["value"]), df, label, features, "QQ")
     points = F.array(*(F.lit(k / (n_quantiles - 1)) for k in range(n_quantiles)))
     long = to_long(df, [F.col(label).alias(label), F.col(CONTROL).alias("control")], features)
     own = long.where(~F.col("control")).groupBy(label, "feature").agg(F.percentile("v", points).alias("x"))
