@@ -1,0 +1,44 @@
+"""Whole jobs: cases that a narrower job would get wrong."""
+
+import collections
+
+import numpy as np
+import pytest
+
+from tests.llm.test_llm import documents, split
+from variantloom.llm import setjoin
+
+
+def brute_components(rows, k, percent):
+    """(doc_id, n_shingles, component_id) from all pairs."""
+    words = [split(t) for _, t in rows]
+    sets = [frozenset(tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))) if w else frozenset() for w in words]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and label[a] != label[b]:
+                label = [label[b] if x == label[a] else x for x in label]
+    return {(i, len(sets[j]), min(rows[m][0] for m in range(len(rows)) if label[m] == label[j])) for j, (i, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("pieces", [3_000_000, 300])
+def test_shingle_join_of_any_length_and_similarity(spark, pieces):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(60)], int(rng.integers(4, 90)))) for _ in range(50)]
+    for t in list(texts):
+        for changes in (1, 2):
+            w = t.split()
+            for _ in range(changes):
+                w[int(rng.integers(len(w)))] = "changed"
+            texts.append(" ".join(w))
+    rows = list(enumerate([*texts, "a b c d e f g h", "a b c d e f g", "one two", "One two", ""]))
+    docs = documents(spark, [(i, t, "s") for i, t in rows])
+    found = {}
+    for k, percent in ((5, 80), (3, 80), (3, 90)):
+        got = setjoin.link_texts(docs, k, percent, block_bytes=4000, shard_bytes=6000, family_shingles=pieces).collect()
+        found[k, percent] = {(r.doc_id, r.n_shingles, r.component_id) for r in got}
+        assert len(got) == len(rows) and found[k, percent] == brute_components(rows, k, percent)
+    linked = collections.Counter({x: len({c for _, _, c in y}) for x, y in found.items()})
+    assert linked[5, 80] < len(rows) and linked[3, 80] < linked[3, 90]
+    kept = {r.doc_id for r in setjoin.keep_one(docs, 5, 80).collect()}
+    assert kept == {i for i, n, c in found[5, 80] if i == c or n == 0}

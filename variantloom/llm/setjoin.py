@@ -1,8 +1,8 @@
 """N-gram Jaccard join with set-relation skipping.
 
-A text's set is its distinct word shingles. Two sets link when 100 * intersection >= 90 * union, that is, when
-19 * |x \\ y u y \\ x| <= |x| + |y|. In any order of shingles, two such sets share one of the first
-n - ceil(0.9 n) + 1 of each (the prefix). The order here is rarest first, by counts over all texts.
+A text's set is its distinct word shingles. Two sets link when 100 * intersection >= percent * union, that is, when
+(100 + percent) * intersection >= percent * (|x| + |y|). In any order of shingles, two such sets share one of the first
+n - ceil(percent * n / 100) + 1 of each (the prefix). The order here is rarest first, by counts over all texts.
 
 1. Blocks of texts ask shards of the hash space how many sets hold each of their shingles.
 2. A block orders each set and files its prefix, without shingles that no other set holds. Sets that file nothing have
@@ -27,17 +27,21 @@ from . import common as C
 from .components import components
 
 SHINGLE = 3
+PERCENT = 90
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 24 << 20
 FAMILY_SHINGLES = 3_000_000
-#: No two different sets with fewer than 19 shingles together can link.
-LEAST = 9
 _OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("shard", pa.int32()), ("payload", pa.binary())])
 OUT = "kind int, doc_id long, sid long, n long, shard int, payload binary"
 
 
-def prefix(n):
-    return n - (9 * n + 9) // 10 + 1
+def prefix(n, percent: int = PERCENT):
+    return n - (percent * n + 99) // 100 + 1
+
+
+def least(percent: int) -> int:
+    """The size of the smallest set that can link with a different one: one with one shingle more."""
+    return -(-percent // (100 - percent))
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +105,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"].cast(pa.int32()), "shard": table["shard"].cast(pa.int32()), "payload": pa.array(out, pa.binary())})
 
 
-def _file(shards: int, k: int):
+def _file(shards: int, k: int, percent: int):
     def file(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return _OUT.empty_table()
@@ -110,7 +114,7 @@ def _file(shards: int, k: int):
         size = np.diff(rows)
         got = b"".join(x for _, x in sorted(zip(answers["shard"].to_pylist(), answers["payload"].to_pylist())))
         bits = np.frombuffer(got, np.uint8).astype(np.int64)
-        first = first[size[first] >= LEAST]
+        first = first[size[first] >= least(percent)]
         n = size[first]
         # each set rarest first: one sort of (set, bits, hash)
         place = members[C.ragged(rows[first], n)]
@@ -119,7 +123,7 @@ def _file(shards: int, k: int):
         place, owner = order % u, order // u // 64
         begin = np.cumsum(n) - n
         pos = np.arange(len(place)) - begin[owner]
-        filed = (pos < prefix(n)[owner]) & (bits[place] > 1)
+        filed = (pos < prefix(n, percent)[owner]) & (bits[place] > 1)
         token, who, where = keys[place[filed]], owner[filed], pos[filed]
         by = np.argsort(token, kind="stable")
         token, who, where = token[by], who[by], where[by]
@@ -140,27 +144,29 @@ def _file(shards: int, k: int):
     return file
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Links (a, b) that tie together all sets which share a filed shingle and may fit in size: in a list ordered by size, each to the first, anew wherever a size is out of the last one's reach."""
-    token, sid, n, pos = (np.concatenate(x) for x in zip(*(C.unpack_sorted(p, 3)[0] for p in table["payload"].to_pylist())))
-    by = np.lexsort((sid, n, token))
-    token, sid, n, pos = token[by], sid[by], n[by].astype(np.int64), pos[by].astype(np.int64)
-    fresh = np.ones(len(token), bool)
-    fresh[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
-    token, sid, n, pos = token[fresh], sid[fresh], n[fresh], pos[fresh]
-    head = np.ones(len(token), bool)
-    head[1:] = (token[1:] != token[:-1]) | (10 * n[:-1] < 9 * n[1:])
-    starts = np.flatnonzero(head)
-    lengths = np.diff(starts, append=len(token))
-    two = starts[lengths == 2]  # a pair: the places of the shingle bound what the sets can share
-    most = np.minimum(pos[two], pos[two + 1]) + np.minimum(n[two] - pos[two], n[two + 1] - pos[two + 1]) if len(two) else two
-    apart = two[19 * most < 9 * (n[two] + n[two + 1])] if len(two) else two
-    head[apart + 1] = True
-    starts = np.flatnonzero(head)
-    first = np.repeat(starts, np.diff(starts, append=len(token)))
-    pairs = np.stack([sid[first], sid], 1)[~head]
-    pairs = np.unique(pairs.view("u8,u8")).view(C.U64).reshape(-1, 2) if len(pairs) else pairs
-    return pa.table({"a": _signed(pairs[:, 0].copy()), "b": _signed(pairs[:, 1].copy())})
+def _meet(percent: int):
+    def meet(table: pa.Table) -> pa.Table:
+        """Links (a, b) that tie together all sets which share a filed shingle and may fit in size: in a list ordered by size, each to the first, anew wherever a size is out of the last one's reach."""
+        token, sid, n, pos = (np.concatenate(x) for x in zip(*(C.unpack_sorted(p, 3)[0] for p in table["payload"].to_pylist())))
+        by = np.lexsort((sid, n, token))
+        token, sid, n, pos = token[by], sid[by], n[by].astype(np.int64), pos[by].astype(np.int64)
+        fresh = np.ones(len(token), bool)
+        fresh[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
+        token, sid, n, pos = token[fresh], sid[fresh], n[fresh], pos[fresh]
+        head = np.ones(len(token), bool)
+        head[1:] = (token[1:] != token[:-1]) | (100 * n[:-1] < percent * n[1:])
+        starts = np.flatnonzero(head)
+        lengths = np.diff(starts, append=len(token))
+        two = starts[lengths == 2]  # a pair: the places of the shingle bound what the sets can share
+        most = np.minimum(pos[two], pos[two + 1]) + np.minimum(n[two] - pos[two], n[two + 1] - pos[two + 1]) if len(two) else two
+        apart = two[(100 + percent) * most < percent * (n[two] + n[two + 1])] if len(two) else two
+        head[apart + 1] = True
+        starts = np.flatnonzero(head)
+        first = np.repeat(starts, np.diff(starts, append=len(token)))
+        pairs = np.stack([sid[first], sid], 1)[~head]
+        pairs = np.unique(pairs.view("u8,u8")).view(C.U64).reshape(-1, 2) if len(pairs) else pairs
+        return pa.table({"a": _signed(pairs[:, 0].copy()), "b": _signed(pairs[:, 1].copy())})
+    return meet
 
 
 class Family:
@@ -168,7 +174,8 @@ class Family:
 
     BLOCK = 32
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
+        self.percent = percent
         self.n = np.fromiter(map(len, sets), np.int64, len(sets))
         self.order = np.argsort(self.n, kind="stable")
         self.n = self.n[self.order]
@@ -180,7 +187,7 @@ class Family:
         self.lists = owner[by]  # of each shingle, the sets that hold it
         self.list_at = np.searchsorted(self.token[by], np.arange(int(self.token.max()) + 2))
         pos = np.arange(len(owner)) - self.begin[owner]
-        head = np.flatnonzero(pos < prefix(self.n)[owner])
+        head = np.flatnonzero(pos < prefix(self.n, percent)[owner])
         t, p, o = self.token[head], pos[head], owner[head]
         by = np.lexsort((p, t))  # the prefix index: lists ordered by position
         self.p_set, self.p_pos, t = o[by], p[by], t[by]
@@ -204,13 +211,13 @@ class Family:
 
     def probe(self, x: int, places: np.ndarray, slack: int) -> np.ndarray:
         """Sets that share one of x's prefix shingles at these places. Blocks in which no set can fit, by size or by what position leaves, are skipped; slack: by how much a set like x may exceed x."""
-        t, n = self.of(x)[places], int(self.n[x])
+        t, n, p = self.of(x)[places], int(self.n[x]), self.percent
         count = self.b_at[t + 1] - self.b_at[t]
         block = C.ragged(self.b_at[t], count)
         at = np.repeat(places, count)
-        need = (9 * (n + self.b_small[block]) + 18) // 19 - slack
+        need = (p * (n + self.b_small[block]) + 99 + p) // (100 + p) - slack
         most = np.minimum(at, self.b_pos[block]) + np.minimum(n - at, self.b_rest[block])
-        fits = (most >= need) & (10 * (self.b_large[block] + slack) >= 9 * (n - slack)) & (9 * (self.b_small[block] - slack) <= 10 * (n + slack))
+        fits = (most >= need) & (100 * (self.b_large[block] + slack) >= p * (n - slack)) & (p * (self.b_small[block] - slack) <= 100 * (n + slack))
         self.skipped += int((~fits).sum())
         block = block[fits]
         return np.unique(self.p_set[C.ragged(self.b_first[block], self.b_last[block] - self.b_first[block])])
@@ -226,7 +233,7 @@ class Family:
 
     def links(self, x: int, others: np.ndarray, inter: np.ndarray) -> np.ndarray:
         both = self.n[x] + self.n[others]
-        return others[(100 * inter >= 90 * (both - inter)) & (others != x)]
+        return others[(100 * inter >= self.percent * (both - inter)) & (others != x)]
 
     def join(self, x: int, others: np.ndarray) -> None:
         for y in others[self.label[others] != self.label[x]].tolist():
@@ -243,7 +250,7 @@ class Family:
 
     def settled(self, x: int) -> bool:
         """No set of fitting size is outside x's component."""
-        low, high = np.searchsorted(self.n, [(9 * self.n[x] + 9) // 10, 10 * self.n[x] // 9 + 1])
+        low, high = np.searchsorted(self.n, [(self.percent * self.n[x] + 99) // 100, 100 * self.n[x] // self.percent + 1])
         own = self.inside.get(int(self.label[x]))
         return (1 if own is None else len(own)) >= high - low and bool((self.label[low:high] == self.label[x]).all())
 
@@ -253,8 +260,8 @@ class Family:
             if done[r] or self.settled(r):
                 continue
             self.asked += 1
-            slack = int(self.n[r]) // 9 + 2  # what a linked set may hold besides r's shingles
-            known = self.probe(r, np.arange(prefix(int(self.n[r]))), slack)
+            slack = (100 - self.percent) * int(self.n[r]) // self.percent + 2  # what a linked set may hold besides r's shingles
+            known = self.probe(r, np.arange(prefix(int(self.n[r]), self.percent)), slack)
             inter = self.shared(r, known)
             like = self.links(r, known, inter)
             self.join(r, like)
@@ -276,37 +283,41 @@ class Family:
         for tokens, by in ((plus, 1), (minus, -1)):
             np.add.at(change, self.lists[C.ragged(self.list_at[tokens], self.list_at[tokens + 1] - self.list_at[tokens])], by)
         self.join(x, self.links(x, known, inter + change[known]))
-        head = mine[: prefix(len(mine))]
-        new = self.probe(x, np.flatnonzero(~np.isin(head, theirs[: prefix(len(theirs))])), 0)
+        head = mine[: prefix(len(mine), self.percent)]
+        new = self.probe(x, np.flatnonzero(~np.isin(head, theirs[: prefix(len(theirs), self.percent)])), 0)
         new = np.setdiff1d(new, known, True)
         self.join(x, self.links(x, new, self.shared(x, new)))
 
 
-def _link(table: pa.Table) -> pa.Table:
-    sid, first = np.unique(table["sid"].to_numpy(), return_index=True)
-    payload = table["payload"].to_pylist()
-    root = Family([np.frombuffer(payload[i], C.U64) for i in first.tolist()]).run()
-    low = np.full(len(sid), np.iinfo(np.int64).max)
-    np.minimum.at(low, root, sid)
-    linked = np.bincount(root, minlength=len(sid))[root] > 1
-    return pa.table({"a": sid[linked], "b": low[root][linked]})
+def _link(percent: int):
+    def link(table: pa.Table) -> pa.Table:
+        sid, first = np.unique(table["sid"].to_numpy(), return_index=True)
+        payload = table["payload"].to_pylist()
+        root = Family([np.frombuffer(payload[i], C.U64) for i in first.tolist()], percent).run()
+        low = np.full(len(sid), np.iinfo(np.int64).max)
+        np.minimum.at(low, root, sid)
+        linked = np.bincount(root, minlength=len(sid))[root] > 1
+        return pa.table({"a": sid[linked], "b": low[root][linked]})
+    return link
 
 
-def link_texts(docs: DataFrame, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, family_shingles: int = FAMILY_SHINGLES) -> DataFrame:
+def link_texts(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, family_shingles: int = FAMILY_SHINGLES) -> DataFrame:
     """One row for each row of (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id that links reach).
 
     A null or empty text has an empty set and is linked with nothing. Rows with equal sets are linked; repeated rows too.
     Null ids take part but name no component (it is null where no other id is in it). Other columns are not read; an empty
     table gives no rows. A family of more shingles than `family_shingles` is joined piece against piece."""
+    if not 0 < percent < 100:
+        raise ValueError(f"percent must be between 0 and 100: {percent}")
     spark, total = docs.sparkSession, C.text_bytes(docs)
     blocks, shards = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
     n = C.parts(spark, total, 32 << 20)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
     asked = texts.groupBy("block").applyInArrow(C.lean(_ask(shards, k)), "shard int, block int, payload binary")
     answers = asked.groupBy("shard").applyInArrow(C.lean(_answer), "block int, shard int, payload binary")
-    filed = C.stash(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.lean(_file(shards, k)), OUT), "filed", by="kind")
+    filed = C.stash(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.lean(_file(shards, k, percent)), OUT), "filed", by="kind")
     ids = filed.where("kind = 0").select("doc_id", "sid", F.col("n").alias("n_shingles"))
-    met = filed.where("kind = 2").groupBy("shard").applyInArrow(C.lean(_meet), "a long, b long")
+    met = filed.where("kind = 2").groupBy("shard").applyInArrow(C.lean(_meet(percent)), "a long, b long")
     families = C.stash(components(met).withColumnsRenamed({"node": "sid", "root": "family"}), "families")
     sets = filed.where("kind = 1").groupBy("sid").agg(F.first("n").alias("n"), F.first("payload").alias("payload"))
     member = C.stash(sets.join(families, "sid"), "members")
@@ -319,7 +330,7 @@ def link_texts(docs: DataFrame, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES
         member = member.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select("family", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "sid", "payload")
     else:
         member = member.select("family", F.lit(0).alias("x"), F.lit(0).alias("y"), "sid", "payload")
-    found = member.groupBy("family", "x", "y").applyInArrow(_link, "a long, b long")
+    found = member.groupBy("family", "x", "y").applyInArrow(_link(percent), "a long, b long")
     roots = components(found) if many else found.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = C.stash(roots.withColumnRenamed("node", "sid"), "roots")
     each = C.stash(ids.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least")), "sets").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -329,8 +340,8 @@ def link_texts(docs: DataFrame, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES
     return linked.unionByName(ids.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, whose doc_id names their component, and all rows without an id or a word: one document of each group stays."""
-    stay = link_texts(docs).where("component_id <> doc_id and n_shingles > 0").select(F.col("doc_id").alias("_gone")).distinct()
+    stay = link_texts(docs, k, percent).where("component_id <> doc_id and n_shingles > 0").select(F.col("doc_id").alias("_gone")).distinct()
     stay = C.stash(stay, "gone")
     return docs.join(stay, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
