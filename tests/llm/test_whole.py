@@ -3,10 +3,12 @@
 import collections
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.test_llm import documents, split
-from variantloom.llm import setjoin
+from variantloom.llm import setjoin, tokens
+from variantloom.llm.queries import tokenizer
 
 
 def brute_components(rows, k, percent):
@@ -42,3 +44,15 @@ def test_shingle_join_of_any_length_and_similarity(spark, pieces):
     assert linked[5, 80] < len(rows) and linked[3, 80] < linked[3, 90]
     kept = {r.doc_id for r in setjoin.keep_one(docs, 5, 80).collect()}
     assert kept == {i for i, n, c in found[5, 80] if i == c or n == 0}
+
+
+def test_added_tokens_as_a_fresh_tokenizer_encodes_them():
+    from tokenizers import Tokenizer
+
+    texts = ["ab <|endoftext|> c", "plain words", "<|endoftext|>", "", None, "x<|startoftext|><|endoftext|>y ", "<|ENDOFTEXT|> Ab", "ab <|endof", "text|> c", "<|endof text|>", " é\u3000<|endoftext|> é", "Ab c", "\n<|endoftext|>\n"]
+    for name, drops in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        fresh, e = Tokenizer.from_file(tokenizer(name)), tokens.Encoder(tokenizer(name), drops)
+        for rows in (texts, texts[::-1], texts[:1], texts[2:3]):
+            ids, at = e.encode(pa.array(rows, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [fresh.encode(t or "", add_special_tokens=False).ids for t in rows]
+    assert len(Tokenizer.from_file(tokenizer("byte_bpe_50k.json")).encode(texts[0], add_special_tokens=False).ids) == 4

@@ -3,7 +3,8 @@
 A text is cut where its tokenizer cuts whatever stands around: between ASCII letters, digits and marks, and at ASCII white
 space. No token and no rule of the tokenizer reaches across such a cut, so each distinct piece is encoded once and
 remembered. Where this can't be told from bytes (white space beyond ASCII beside a space counts for the byte-level
-tokenizer) a text is one piece."""
+tokenizer) a text is one piece. The tokenizer's added tokens (such as <|endoftext|>) are one id wherever they are written;
+a text that holds one is encoded whole."""
 
 from __future__ import annotations
 
@@ -36,7 +37,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.drops_space, self.most = drops_space, most
         self.forget()
 
@@ -69,10 +70,34 @@ class Encoder:
             starts, lengths = starts[solid], lengths[solid]
         return starts, lengths
 
+    def holding(self, data: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Rows that hold an added token, ascending."""
+        raw, found = data.tobytes(), set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                r = int(np.searchsorted(rows, at, "right")) - 1
+                inside = at + len(token) <= rows[r + 1]  # else it reaches into the next text
+                if inside:
+                    found.add(r)
+                at = raw.find(token, int(rows[r + 1]) if inside else at + 1)
+        return np.array(sorted(found), np.int64)
+
+    def library(self, texts: list[str]) -> list[np.ndarray]:
+        ids = []
+        for k in range(0, len(texts), BATCH):
+            ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[k : k + BATCH], add_special_tokens=False)]
+        return ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as unsigned 32-bit integers, and where each text's begin (and the end). A null text is empty."""
         data, rows = C.utf8(texts)
         starts, lengths = self.cut(data, rows)
+        whole = self.holding(data, rows)
+        if len(whole):
+            own = self.library([data[rows[r] : rows[r + 1]].tobytes().decode("utf-8", "replace") for r in whole.tolist()])
+            cached = ~np.isin(np.searchsorted(rows, starts, "right") - 1, whole)
+            starts, lengths = starts[cached], lengths[cached]
         if self.drops_space:
             data = C.LOWER[data]
         keys, place = C.factorize(C.hash_slices(data, starts, lengths))
@@ -88,9 +113,7 @@ class Encoder:
             new = np.flatnonzero(~known)
             raw = data.tobytes()
             pieces = [raw[starts[i] : starts[i] + lengths[i]].decode("utf-8", "replace") for i in one[new]]
-            ids = []
-            for k in range(0, len(pieces), BATCH):
-                ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces[k : k + BATCH], add_special_tokens=False)]
+            ids = self.library(pieces)
             n = np.fromiter(map(len, ids), np.int64, len(ids))
             where = at[new]  # both are ascending: a merge, not a sort
             self.begin = np.insert(self.begin, where, len(self.flat) + np.cumsum(n) - n)
@@ -102,7 +125,13 @@ class Encoder:
         ids = self.flat[C.ragged(self.begin[at][place], n)]
         ends = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=ends[1:])
-        return ids, ends[np.searchsorted(starts, rows)]
+        ends = ends[np.searchsorted(starts, rows)]
+        if len(whole):
+            more = np.zeros(len(ends), np.int64)
+            more[whole + 1] = n = np.fromiter(map(len, own), np.int64, len(own))
+            ids = np.insert(ids, np.repeat(ends[whole], n), np.concatenate(own))
+            ends = ends + np.cumsum(more)
+        return ids, ends
 
 
 _held: dict = {}
