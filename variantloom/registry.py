@@ -13,7 +13,6 @@ from .functions.vectors import cosine_distance, impact_score, norm, query_dot
 from .operators import comparisons, models, qc, sampling, selection
 from .operators.aggregate import aggregate
 from .operators.batchcorrect import BatchCorrector
-from .operators.boosting import Params
 from .operators.embedding import pca
 from .operators.normalize import Normalizer
 
@@ -235,9 +234,6 @@ def select_features(spark, sf_dir):
     return _rounded(selection.select_features(wide))
 
 
-FAST = Params(rounds=10)
-
-
 def _model(name: str, run: Callable):
     def query(spark, sf_dir):
         return _rounded(run(cells(spark, sf_dir)))
@@ -245,11 +241,11 @@ def _model(name: str, run: Callable):
     return query
 
 
-one_vs_wild_type = _model("one_vs_wild_type", lambda c: models.one_vs_wild_type(c, IDS, params=FAST, min_cells=50, downsample_wt=2000).drop("model", "importance"))
-wild_type_pairs = _model("wild_type_pairs", lambda c: models.wild_type_pairs(c, IDS, min_cells=50, max_barcodes=4, params=FAST).drop("model", "importance"))
-wild_type_vs_pool = _model("wild_type_vs_pool", lambda c: models.wild_type_vs_pool(c, IDS, min_cells=50, downsample_pool=1000, params=FAST).drop("model", "importance"))
-batch_vs_batch = _model("batch_vs_batch", lambda c: models.batch_vs_batch(c, IDS, params=Params(rounds=5)))
-cell_scores = _model("cell_scores", lambda c: models.score_cells(c, models.one_vs_wild_type(c, IDS, params=Params(rounds=5), min_cells=50, downsample_wt=1000)))
+one_vs_wild_type = _model("one_vs_wild_type", lambda c: models.one_vs_wild_type(c, IDS, min_cells=50).drop("model", "importance"))
+wild_type_pairs = _model("wild_type_pairs", lambda c: models.wild_type_pairs(c, IDS, min_cells=50).drop("model", "importance"))
+wild_type_vs_pool = _model("wild_type_vs_pool", lambda c: models.wild_type_vs_pool(c, IDS, min_cells=50).drop("model", "importance"))
+batch_vs_batch = _model("batch_vs_batch", lambda c: models.batch_vs_batch(c, IDS))
+cell_scores = _model("cell_scores", lambda c: models.score_cells(c, models.one_vs_wild_type(c, IDS, min_cells=50)))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     mean_profile, qc_cells, qc_barcodes, qc_variants, variant_classes, metadata, normalizer, control_by_predicate,
