@@ -179,8 +179,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans)
 
 
-#: Every entity but names holds a digit or an @, or follows a word for a secret.
-_ANY = re.compile(r"[0-9@]|(?i:token|secret|passw|api[_-]?key|ghp_|xox)")
+#: Every entity but names holds a digit or an @, follows a word for a secret, or begins as keys do.
+_ANY = re.compile(r"[0-9@]|(?<![A-Za-z0-9])(?:AKIA|sk-)|(?i:token|secret|passw|api[_-]?key|ghp_|xox)")
 
 
 def replace(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, str, str]]]:
