@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.test_llm import documents, split
-from variantloom.llm import pii, setjoin, tokens
+from variantloom.llm import pii, setjoin, tokens, urls
 from variantloom.llm.queries import tokenizer
 
 
@@ -62,3 +62,11 @@ def test_added_tokens_as_a_fresh_tokenizer_encodes_them():
 def test_secrets_of_letters_alone(secret):
     text, found = pii.replace(f"key {secret} ends")
     assert secret not in text and [(k, e) for k, e, _ in found] == [("secret", secret)]
+
+
+def test_names_wherever_they_recur():
+    text, found = pii.replace("Mrs. Anna Smith called. Anna left; Smith's bag stayed, SMITH said. Annabel met Herr Smith's dog. smith")
+    new = {e: s for _, e, s in found}
+    anna, smith = new["Anna Smith"].split()
+    assert text == f"Mrs. {anna} {smith} called. {anna} left; {smith}'s bag stayed, {smith.upper()} said. Annabel met Herr {smith}'s dog. smith"
+    assert pii.replace("Anna left; Smith stayed.")[1] == []

@@ -26,7 +26,7 @@ NAMES = {
     ("f", "cyrillic"): "анна мария ольга елена наталья татьяна светлана ирина".split(),
     ("m", "cyrillic"): "иван петр сергей дмитрий андрей алексей николай михаил".split(),
 }
-#: Forms of address, with the gender that they tell.
+#: Forms of address, with the gender that they tell. It is not used: a listed name tells its own, and an unlisted one keeps none.
 TITLES = {"mr": "m", "mrs": "f", "ms": "f", "herr": "m", "frau": "f", "señor": "m", "señora": "f", "monsieur": "m", "madame": "f", "г-н": "m", "г-жа": "f"}
 #: Classes of characters; a character never leaves its class.
 CLASSES = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâäåèéêëìíîïòóôöùúûü", "çñßš", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь"]
@@ -160,7 +160,7 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
-    """Spans and kinds, in order, none over another; the kind listed first wins."""
+    """Spans and kinds, in order, none over another; the kind listed first wins. A name is found after a form of address, and its parts wherever they recur in the text."""
     spans: list[tuple[int, int, str]] = []
     if _ANY.search(text):
         for kind, pattern in PATTERNS:
@@ -172,10 +172,19 @@ def find(text: str) -> list[tuple[int, int, str]]:
                     b -= len(text[a:b]) - len(text[a:b].rstrip("."))
                 if all(b <= s or a >= e for s, e, _ in spans):
                     spans.append((a, b, kind))
+    parts: set[str] = set()
     for m in NAME.finditer(text):
         a, b = m.span("x")
+        b -= 2 * text[a:b].endswith("'s")
         if all(b <= s or a >= e for s, e, _ in spans):
             spans.append((a, b, "name"))
+            parts.update(text[a:b].split(" "))
+    if parts:
+        forms = sorted({f for p in parts for f in (p, p.upper(), p.capitalize())}, key=len, reverse=True)
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, forms))})(?!\w)", text):
+            a, b = m.span()
+            if all(b <= s or a >= e for s, e, _ in spans):
+                spans.append((a, b, "name"))
     return sorted(spans)
 
 
