@@ -70,3 +70,9 @@ def test_names_wherever_they_recur():
     anna, smith = new["Anna Smith"].split()
     assert text == f"Mrs. {anna} {smith} called. {anna} left; {smith}'s bag stayed, {smith.upper()} said. Annabel met Herr {smith}'s dog. smith"
     assert pii.replace("Anna left; Smith stayed.")[1] == []
+
+
+def test_hyphenated_click_bait_is_blocked(spark):
+    hosts = ["click-bait.com", "clickbait.com", "www.click-bait.org", "click.com", "bait.com", "clickbaits.com"]
+    got = {r.url: r.verdict for r in urls.judge(spark.createDataFrame([(f"http://{h}/x",) for h in hosts], "url string")).collect()}
+    assert [got[f"http://{h}/x"] for h in hosts] == ["block"] * 3 + ["allow"] * 3

@@ -27,6 +27,7 @@ class Rule:
     verdict: str
     rank: int
     target: str = "url"
+    other: tuple[str, ...] = ()  # tokens of a second way to fit the pattern; the rule is filed under the rarest of each
 
 
 def path_rule(verdict: str, rule: str) -> Rule:
@@ -37,9 +38,9 @@ def path_rule(verdict: str, rule: str) -> Rule:
     return Rule(rule, rf"^(?:[^/]*\.)?{re.escape(host)}(?={re.escape(slash + path)})".replace("(?=)", r"(?=/|\z)"), tuple(tokens), verdict, 1000 + 2 * len(rule) + (verdict == "allow"), "site")
 
 
-def word_rule(pattern: str, *tokens: str, verdict: str = "block") -> Rule:
+def word_rule(pattern: str, *tokens: str, verdict: str = "block", other: tuple[str, ...] = ()) -> Rule:
     """A pattern of the method's own, without a name in the result: any listed rule outranks it."""
-    return Rule(None, pattern, tokens, verdict, 1)
+    return Rule(None, pattern, tokens, verdict, 1, other=other)
 
 
 #: The rules that the query lists.
@@ -47,7 +48,7 @@ LISTED = (path_rule("block", "com/en/"), path_rule("allow", "example.com/en/7"),
 #: Rules of the method itself: spam, gambling, adult and shop words as whole tokens of the host.
 OWN = (
     word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\bspam[-.]", "spam"), word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\bcheap-pills\b", "cheap", "pills"), word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\bcasino\b", "casino"),
-    word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\b(?:free-)?porn\b", "porn"), word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\bclick-?bait\b", "clickbait"),
+    word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\b(?:free-)?porn\b", "porn"), word_rule(r"^[a-z][a-z0-9+.-]*://[^/?#]*\bclick-?bait\b", "clickbait", other=("click", "bait")),
 )
 
 
@@ -63,7 +64,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 def token_counts(urls: DataFrame, rules: tuple, url: str = "url") -> dict[str, int]:
     """How many rows hold each token that a rule names: at most as many numbers as the rules have tokens."""
-    named = sorted({t for r in rules for t in r.tokens})
+    named = sorted({t for r in rules for t in r.tokens + r.other})
     tokens = urls.select(F.explode(F.array_intersect(F.split(F.lower(F.coalesce(url, F.lit(""))), TOKEN_SPLIT), F.array(*map(F.lit, named)))).alias("t"))
     return {r[0]: r[1] for r in tokens.groupBy("t").count().collect()}
 
@@ -75,8 +76,9 @@ def index(rules: tuple, counts: dict[str, int]) -> tuple[Column, int]:
     for r in rules:
         if not r.tokens:
             raise ValueError(f"a rule needs a literal token: {r.pattern}")
-        rarest = min(r.tokens, key=lambda t: (counts.get(t, 0), t))
-        buckets[zlib.crc32(rarest.encode()) % size].append((rarest, r))
+        for tokens in (r.tokens, r.other) if r.other else (r.tokens,):
+            rarest = min(tokens, key=lambda t: (counts.get(t, 0), t))
+            buckets[zlib.crc32(rarest.encode()) % size].append((rarest, r))
     lit = lambda x: F.lit(x).cast("string")
     entry = lambda t, r: F.struct(lit(t).alias("token"), lit(r.pattern).alias("pattern"), F.lit(r.target == "site").alias("site"), lit(r.name).alias("name"), lit(r.verdict).alias("verdict"), F.lit(r.rank).alias("rank"))
     none = F.filter(F.array(entry("", rules[0])), lambda _: F.lit(False))
