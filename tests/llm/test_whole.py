@@ -5,9 +5,10 @@ import collections
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.test_llm import documents, split
-from variantloom.llm import pii, setjoin, tokens, urls
+from variantloom.llm import lm, pii, setjoin, tokens, urls
 from variantloom.llm.queries import tokenizer
 
 
@@ -76,3 +77,13 @@ def test_hyphenated_click_bait_is_blocked(spark):
     hosts = ["click-bait.com", "clickbait.com", "www.click-bait.org", "click.com", "bait.com", "clickbaits.com"]
     got = {r.url: r.verdict for r in urls.judge(spark.createDataFrame([(f"http://{h}/x",) for h in hosts], "url string")).collect()}
     assert [got[f"http://{h}/x"] for h in hosts] == ["block"] * 3 + ["allow"] * 3
+
+
+def test_language_model_over_ranges_of_shards(spark):
+    """A fan of two sends every question through merged ranges; the scores are those of a single exchange."""
+    rng = np.random.default_rng(3)
+    docs = documents(spark, [(i if i % 17 else None, " ".join(rng.choice([f"w{k}" for k in range(30)], int(rng.integers(0, 80)))), "s") for i in range(150)] + [(500, None, "s")])
+    sizes = {"block_bytes": 2000, "shard_bytes": 1500}
+    plain, ranged = (sorted(map(repr, lm.score_texts(docs, fan=fan, **sizes).select("doc_id", "n_tokens", "n_known", "train_tokens", "vocabulary", F.round("score", 8)).collect())) for fan in (4096, 2))
+    assert plain == ranged and len(plain) == 151
+    assert lm.score_texts(docs).count() == 151 and lm.ORDER >= 3

@@ -5,13 +5,13 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
-import tempfile
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +26,28 @@ U64 = np.uint64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (tests) a new one of our own."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Where it is unset and everything runs
+    in one process (local mode, as in tests), it is a folder of the warehouse; a cluster without one is refused."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="variantloom-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, with marks before them until none is a column's, whatever its case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -57,9 +71,10 @@ def parts(spark: SparkSession, total: int, each: int) -> int:
 
 def salted_join(rows: DataFrame, by_key: DataFrame, key: str, salt: str, salts: int = 16, how: str = "left") -> DataFrame:
     """Join with a side that has one row for each key, while a key may hold a third of `rows`: its rows are dealt over `salts` tasks, the small side's rows are repeated."""
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
-    right = by_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    name, = fresh(rows.columns + by_key.columns, "_salt")
+    left = rows.withColumn(name, F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
+    right = by_key.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, name], how).drop(name)
 
 
 def crc(doc_id) -> int:
@@ -183,6 +198,43 @@ def unpack_sorted(packed: bytes, columns: int, at: int = 0) -> tuple[list[np.nda
     return out, at
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def pack_counted(columns: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """Lists of ascending distinct keys, each with a small number. The low planes of the keys' differences are noise and
+    stay as they are; the highest ones, and the numbers, hold little and are compressed, each kind by itself."""
+    low, top, numbers = [], [], []
+    for keys, n in columns:
+        first = int(keys[0]) if len(keys) else 0
+        packed = planes(np.diff(keys, prepend=U64(first)))
+        cut = len(packed) - len(keys)
+        low.append(len(keys).to_bytes(8, "little") + first.to_bytes(8, "little") + packed[:cut])
+        top.append(packed[cut:])
+        numbers.append(planes(n))
+    parts = [b"".join(low), squeeze(b"".join(top)), squeeze(b"".join(numbers))]
+    return b"".join(len(x).to_bytes(8, "little") for x in parts) + b"".join(parts)
+
+
+def unpack_counted(packed: bytes, lists: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    a, b, c = (int.from_bytes(packed[i : i + 8], "little") for i in (0, 8, 16))
+    low, top, numbers = packed[24 : 24 + a], unsqueeze(packed[24 + a : 24 + a + b]), unsqueeze(packed[24 + a + b : 24 + a + b + c])
+    out, at, top_at, number_at = [], 0, 0, 0
+    for _ in range(lists):
+        n, first = int.from_bytes(low[at : at + 8], "little"), int.from_bytes(low[at + 8 : at + 16], "little")
+        below = 1 + (low[at + 16] - 1) * n
+        deltas, _end = unplanes(low[at + 16 : at + 16 + below] + top[top_at : top_at + n], n)
+        counts, number_at = unplanes(numbers, n, number_at)
+        out.append((np.cumsum(deltas, dtype=U64) + U64(first), counts))
+        at, top_at = at + 16 + below, top_at + n
+    return out
+
+
 def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     """Where each shard's range of ascending 64-bit keys begins, and the end: a shard is a range of the key's upper half."""
     return np.searchsorted((keys >> U64(32)) * U64(shards) >> U64(32), np.arange(shards + 1, dtype=U64))

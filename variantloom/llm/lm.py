@@ -8,6 +8,10 @@ No task holds the whole model. Texts are dealt into blocks. Each block sends its
 in its training texts, to shards of the hash space; a shard sums the counts over all blocks and answers each block
 with the totals of just the n-grams it asked for. From these a block builds its part of the automaton, in which its
 own texts take the very paths that they would take in the whole one, and walks them once from left to right.
+
+A block sends at most FAN rows. Where there are more shards than that, a row goes to a range of shards, in which the
+questions of FAN blocks are merged and then dealt to the range's shards; answers take the same way back. So rows grow
+with the number of blocks and not with blocks times shards.
 """
 
 from __future__ import annotations
@@ -21,11 +25,12 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-ORDER = 2
+ORDER = 3
 MASS = (0.0, 300.0, 3.0, 1.0)
 HELD_OUT = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
+FAN = 4096
 LANE = 512
 END = np.uint64(0xE2D)  # no hash of a word is as small but by a chance of 2 ** -52
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, vocabulary long"
@@ -47,44 +52,101 @@ def _ngrams(table: pa.Table, order: int) -> tuple[np.ndarray, list[np.ndarray],
     return rows, grams, places
 
 
-def _ask(shards: int, order: int, held_out: int):
+def _dealt(columns: list[tuple[np.ndarray, np.ndarray]], shards: int, parts: range) -> list[bytes]:
+    """Packed keys with counts for each of these shards. One with nothing to ask is asked too: it tells its share of the training tokens and of the vocabulary."""
+    cuts = [C.shard_cuts(keys, shards) for keys, _ in columns]
+    return [C.pack_counted([(keys[c[k] : c[k + 1]], n[c[k] : c[k + 1]]) for (keys, n), c in zip(columns, cuts)]) for k in parts]
+
+
+def _ask(ranges: int, order: int, held_out: int):
     def ask(table: pa.Table) -> pa.Table:
         rows, grams, places = _ngrams(table, order)
         learns = np.repeat(C.remainders(table["doc_id"].to_pylist(), held_out) != 0, np.diff(rows))
-        payloads = [b""] * shards
+        columns = []
         for gram, place in zip(grams, places):
             keys = C.distinct(gram)
             seen, n = C.distinct(gram[learns[place]], counts=True)
             counts = np.zeros(len(keys), np.int64)
             counts[np.searchsorted(keys, seen)] = n
-            cuts = C.shard_cuts(keys, shards)
-            for k in range(shards):
-                payloads[k] += C.pack_sorted(keys[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]])
-        return pa.table({"shard": pa.array(range(shards), pa.int32()), "block": pa.array([table["block"][0].as_py()] * shards, pa.int32()), "payload": pa.array(payloads, pa.binary())})
+            columns.append((keys, counts))
+        parts = range(ranges)
+        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(parts), pa.int32()), "part": pa.array(parts, pa.int32()), "payload": pa.array(_dealt(columns, ranges, parts), pa.binary())})
     return ask
 
 
-def _answer(order: int):
+def _summed(asked: list[list[tuple[np.ndarray, np.ndarray]]], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of one length over all that ask, each one's place among them, and their total counts."""
+    keys, place = C.factorize(np.concatenate([x[n][0] for x in asked]))
+    return keys, place, np.bincount(place, np.concatenate([x[n][1] for x in asked]).astype(float), len(keys)).astype(np.int64)
+
+
+def _replies(totals: list[list[np.ndarray]], n_train: int, vocabulary: int) -> list[bytes]:
+    """To each that asked: training tokens and vocabulary of these shards, and the totals of its n-grams in its order."""
+    head = n_train.to_bytes(8, "little") + vocabulary.to_bytes(8, "little")
+    return [head + C.squeeze(b"".join(C.planes(t) for t in each)) for each in totals]
+
+
+def _split(place: np.ndarray, total: np.ndarray, asked: list, n: int) -> list[np.ndarray]:
+    ends = np.cumsum([len(x[n][0]) for x in asked])
+    return np.split(total[place], ends[:-1])
+
+
+def _answer(order: int, who: str = "block"):
     def answer(table: pa.Table) -> pa.Table:
-        """Totals over all blocks, in the order in which each block asked; before them the shard's training tokens and vocabulary."""
-        asked, ends = table["payload"].to_pylist(), [0] * table.num_rows
-        out, head = [b""] * table.num_rows, b""
+        """Totals over all that ask this shard."""
+        asked = [C.unpack_counted(x, order) for x in table["payload"].to_pylist()]
+        each, head = [], (0, 0)
         for n in range(order):
-            each = []
-            for i, packed in enumerate(asked):
-                columns, ends[i] = C.unpack_sorted(packed, 1, ends[i])
-                each.append(columns)
-            keys, place = C.factorize(np.concatenate([k for k, _ in each]))
-            total = np.bincount(place, np.concatenate([c for _, c in each]).astype(float), len(keys)).astype(np.int64)
-            head = head or int(total.sum()).to_bytes(8, "little") + int((total > 0).sum()).to_bytes(8, "little")
-            at = 0
-            for i, (k, _) in enumerate(each):
-                out[i] += C.planes(total[place[at : at + len(k)]])
-                at += len(k)
-        return pa.table({"block": table["block"].cast(pa.int32()), "shard": table["shard"].cast(pa.int32()), "payload": pa.array([head + x for x in out], pa.binary())})
+            keys, place, total = _summed(asked, n)
+            if n == 0:
+                head = int(total.sum()), int((total > 0).sum())
+            each.append(_split(place, total, asked, n))
+        return pa.table({who: table[who].cast(pa.int32()), "part": table["part"].cast(pa.int32()), "payload": pa.array(_replies([list(x) for x in zip(*each)], *head), pa.binary())})
     return answer
 
 
+def _merge(order: int, ranges: int, sub: int):
+    def merge(table: pa.Table) -> pa.Table:
+        """The questions of a group of blocks to one range, merged and dealt to its shards."""
+        asked = [C.unpack_counted(x, order) for x in table["payload"].to_pylist()]
+        columns = []
+        for n in range(order):
+            keys, _, total = _summed(asked, n)
+            columns.append((keys, total))
+        parts = range(table["part"][0].as_py() * sub, (table["part"][0].as_py() + 1) * sub)
+        return pa.table({"team": pa.array([table["team"][0].as_py()] * len(parts), pa.int32()), "part": pa.array(parts, pa.int32()), "payload": pa.array(_dealt(columns, ranges * sub, parts), pa.binary())})
+    return merge
+
+
+def _return(order: int, ranges: int, sub: int):
+    def back(table: pa.Table, answers: pa.Table) -> pa.Table:
+        """The answers to a group of blocks, dealt to each."""
+        if not table.num_rows:
+            return pa.table({"block": pa.array([], pa.int32()), "part": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
+        asked, part = [C.unpack_counted(x, order) for x in table["payload"].to_pylist()], table["part"][0].as_py()
+        merged = [_summed(asked, n) for n in range(order)]
+        totals, n_train, vocabulary = _totals([keys for keys, _, _ in merged], answers, ranges * sub)
+        each = [_split(place, total, asked, n) for n, ((_, place, _), total) in enumerate(zip(merged, totals))]
+        return pa.table({"block": table["block"].cast(pa.int32()), "part": pa.array([part] * table.num_rows, pa.int32()), "payload": pa.array(_replies([list(x) for x in zip(*each)], n_train, vocabulary), pa.binary())})
+    return back
+
+
+def _totals(keys: list[np.ndarray], answers: pa.Table, shards: int) -> tuple[list[np.ndarray], int, int]:
+    """Totals of ascending keys of each length from the answers of their shards; and sums of the shards' training tokens and vocabularies."""
+    got, n_train, vocabulary = {}, 0, 0
+    for part, packed in zip(answers["shard" if "shard" in answers.column_names else "part"].to_pylist(), answers["payload"].to_pylist()):
+        n_train, vocabulary = n_train + int.from_bytes(packed[:8], "little"), vocabulary + int.from_bytes(packed[8:16], "little")
+        got[part] = [C.unsqueeze(packed[16:]), 0]
+    totals = []
+    for each in keys:
+        cuts, found = C.shard_cuts(each, shards), []
+        for part in sorted(got):
+            values, got[part][1] = C.unplanes(got[part][0], int(cuts[part + 1] - cuts[part]), got[part][1])
+            found.append(values)
+        totals.append(np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64))
+    return totals, n_train, vocabulary
+
+
 class Automaton:
     """The part of the whole automaton that a block of texts can reach.
 
@@ -176,17 +238,9 @@ def _score(order: int, held_out: int, mass: tuple):
         if not texts.num_rows:
             return _ARROW.empty_table()
         rows, grams, places = _ngrams(texts, order)
-        got = [x for _, x in sorted(zip(answers["shard"].to_pylist(), answers["payload"].to_pylist()))]
-        n_train, vocabulary = (sum(int.from_bytes(x[at : at + 8], "little") for x in got) for at in (0, 8))
-        ends, ids, totals = [16] * len(got), [], []
-        for gram in grams:
-            keys, own = C.factorize(gram)
-            cuts, parts = C.shard_cuts(keys, len(got)), []
-            for k, packed in enumerate(got):
-                part, ends[k] = C.unplanes(packed, int(cuts[k + 1] - cuts[k]), ends[k])
-                parts.append(part)
-            ids.append(own)
-            totals.append(np.concatenate(parts).astype(float))
+        keys, ids = zip(*(C.factorize(gram) for gram in grams))
+        totals, n_train, vocabulary = _totals(list(keys), answers, answers.num_rows)  # every range answers
+        totals = [t.astype(float) for t in totals]
         floor = (totals[0] + 0.1) / (n_train + 0.1 * (vocabulary + 1))
         auto = Automaton(rows, places, ids, totals, floor, mass)
         sums = lambda x: np.add.reduceat(x[ids[0]], rows[:-1])  # noqa: E731  every text has at least its end
@@ -202,16 +256,26 @@ def _score(order: int, held_out: int, mass: tuple):
 _ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("vocabulary", pa.int64())])
 
 
-def score_texts(docs: DataFrame, order: int = ORDER, mass: tuple = MASS, held_out: int = HELD_OUT, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = ORDER, mass: tuple = MASS, held_out: int = HELD_OUT, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, fan: int = FAN) -> DataFrame:
     """Score every whole text of (doc_id, text) under a model of the texts whose crc32(doc_id as text) mod `held_out` is not 0.
 
     One row out for each row in. A null text is empty and has its end token alone; a null id counts as empty text in the
     crc and so is held out; repeated rows are scored each and learnt each; columns besides doc_id and text are ignored;
-    an empty table gives no rows. Memory is that of one block and one shard, whatever the corpus."""
+    an empty table gives no rows; a very long text is a block of its own size. Memory is that of one block and one shard,
+    whatever the corpus."""
     spark, total = docs.sparkSession, C.text_bytes(docs)
     blocks, shards = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
-    n = C.parts(spark, total, 32 << 20)
+    ranges = min(shards, fan)
+    sub = -(-shards // ranges)
+    n, m = C.parts(spark, total, 32 << 20), C.parts(spark, 3 * total, 64 << 20)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
-    asked = texts.groupBy("block").applyInArrow(C.lean(_ask(shards, order, held_out)), "shard int, block int, payload binary")
-    answers = asked.groupBy("shard").applyInArrow(C.lean(_answer(order)), "block int, shard int, payload binary")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.lean(_score(order, held_out, mass)), SCHEMA)
+    asked = texts.groupBy("block").applyInArrow(C.lean(_ask(ranges, order, held_out)), "block int, part int, payload binary")
+    if sub == 1:
+        answers = asked.repartition(m, "part").groupBy("part").applyInArrow(C.lean(_answer(order)), "block int, part int, payload binary")
+    else:
+        asked = asked.withColumn("team", F.floor(F.col("block") / fan).cast("int")).repartition(m, "team", "part")
+        merged = asked.groupBy("team", "part").applyInArrow(C.lean(_merge(order, ranges, sub)), "team int, part int, payload binary")
+        found = merged.repartition(m, "part").groupBy("part").applyInArrow(C.lean(_answer(order, "team")), "team int, part int, payload binary")
+        found = found.withColumnRenamed("part", "shard").withColumn("part", F.floor(F.col("shard") / sub).cast("int"))
+        answers = asked.groupBy("team", "part").cogroup(found.select("team", "part", F.col("shard"), "payload").groupBy("team", "part")).applyInArrow(C.lean(_return(order, ranges, sub)), "block int, part int, payload binary")
+    return texts.groupBy("block").cogroup(answers.repartition(n, "block").groupBy("block")).applyInArrow(C.lean(_score(order, held_out, mass)), SCHEMA)
