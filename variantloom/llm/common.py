@@ -206,6 +206,18 @@ def unsqueeze(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def freeze(table: pa.Table) -> bytes:
+    """A table as compressed bytes."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        stream.write_table(table)
+    return zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+
+
+def thaw(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(unsqueeze(data)).read_all()
+
+
 def pack_counted(columns: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
     """Lists of ascending distinct keys, each with a small number. The low planes of the keys' differences are noise and
     stay as they are; the highest ones, and the numbers, hold little and are compressed, each kind by itself."""

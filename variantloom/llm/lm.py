@@ -20,6 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,20 +37,24 @@ END = np.uint64(0xE2D)  # no hash of a word is as small but by a chance of 2 **
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, vocabulary long"
 
 
-def _ngrams(table: pa.Table, order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Where texts begin (and the end), and for each length n the hash of the n-gram that ends at a token, with the tokens at which one does. Each text has an end token."""
+def _ngrams(table: pa.Table, order: int):
+    """Where texts begin (and the end); then for each length n, one after the other, the hash of the n-gram that ends at a token and the tokens at which one does. Each text has an end token."""
     word, rows = C.words(table["text"])
     word = np.insert(word, rows[1:], END)
     rows = rows + np.arange(len(rows))
-    at = np.arange(len(word)) - np.repeat(rows[:-1], np.diff(rows))
-    grams, places, before = [word], [np.arange(len(word))], word
-    for n in range(2, order + 1):
-        longer = np.zeros_like(word)
-        longer[1:] = C.chain(before[:-1], word[1:])
-        before = longer
-        places.append(np.flatnonzero(at >= n - 1))
-        grams.append(longer[places[-1]])
-    return rows, grams, places
+
+    def each():
+        left = np.arange(len(word), dtype=np.int32) - np.repeat(rows[:-1].astype(np.int32), np.diff(rows))  # tokens before it in its text
+        yield word, np.arange(len(word), dtype=np.int32)
+        before = word
+        for n in range(2, order + 1):
+            longer = np.zeros_like(word)
+            longer[1:] = C.chain(before[:-1], word[1:])
+            before = longer
+            place = np.flatnonzero(left >= n - 1).astype(np.int32)
+            yield longer[place], place
+
+    return rows, each()
 
 
 def _dealt(columns: list[tuple[np.ndarray, np.ndarray]], shards: int, parts: range) -> list[bytes]:
@@ -60,17 +65,17 @@ def _dealt(columns: list[tuple[np.ndarray, np.ndarray]], shards: int, parts: ran
 
 def _ask(ranges: int, order: int, held_out: int):
     def ask(table: pa.Table) -> pa.Table:
-        rows, grams, places = _ngrams(table, order)
+        rows, grams = _ngrams(table, order)
         learns = np.repeat(C.remainders(table["doc_id"].to_pylist(), held_out) != 0, np.diff(rows))
         columns = []
-        for gram, place in zip(grams, places):
+        for gram, place in grams:
             keys = C.distinct(gram)
             seen, n = C.distinct(gram[learns[place]], counts=True)
             counts = np.zeros(len(keys), np.int64)
             counts[np.searchsorted(keys, seen)] = n
             columns.append((keys, counts))
         parts = range(ranges)
-        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(parts), pa.int32()), "part": pa.array(parts, pa.int32()), "payload": pa.array(_dealt(columns, ranges, parts), pa.binary())})
+        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(parts), pa.int64()), "part": pa.array(parts, pa.int32()), "payload": pa.array(_dealt(columns, ranges, parts), pa.binary())})
     return ask
 
 
@@ -101,7 +106,7 @@ def _answer(order: int, who: str = "block"):
             if n == 0:
                 head = int(total.sum()), int((total > 0).sum())
             each.append(_split(place, total, asked, n))
-        return pa.table({who: table[who].cast(pa.int32()), "part": table["part"].cast(pa.int32()), "payload": pa.array(_replies([list(x) for x in zip(*each)], *head), pa.binary())})
+        return pa.table({who: table[who].cast(pa.int64()), "part": table["part"].cast(pa.int32()), "payload": pa.array(_replies([list(x) for x in zip(*each)], *head), pa.binary())})
     return answer
 
 
@@ -114,7 +119,7 @@ def _merge(order: int, ranges: int, sub: int):
             keys, _, total = _summed(asked, n)
             columns.append((keys, total))
         parts = range(table["part"][0].as_py() * sub, (table["part"][0].as_py() + 1) * sub)
-        return pa.table({"team": pa.array([table["team"][0].as_py()] * len(parts), pa.int32()), "part": pa.array(parts, pa.int32()), "payload": pa.array(_dealt(columns, ranges * sub, parts), pa.binary())})
+        return pa.table({"team": pa.array([table["team"][0].as_py()] * len(parts), pa.int64()), "part": pa.array(parts, pa.int32()), "payload": pa.array(_dealt(columns, ranges * sub, parts), pa.binary())})
     return merge
 
 
@@ -122,12 +127,12 @@ def _return(order: int, ranges: int, sub: int):
     def back(table: pa.Table, answers: pa.Table) -> pa.Table:
         """The answers to a group of blocks, dealt to each."""
         if not table.num_rows:
-            return pa.table({"block": pa.array([], pa.int32()), "part": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
+            return pa.table({"block": pa.array([], pa.int64()), "part": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
         asked, part = [C.unpack_counted(x, order) for x in table["payload"].to_pylist()], table["part"][0].as_py()
         merged = [_summed(asked, n) for n in range(order)]
         totals, n_train, vocabulary = _totals([keys for keys, _, _ in merged], answers, ranges * sub)
         each = [_split(place, total, asked, n) for n, ((_, place, _), total) in enumerate(zip(merged, totals))]
-        return pa.table({"block": table["block"].cast(pa.int32()), "part": pa.array([part] * table.num_rows, pa.int32()), "payload": pa.array(_replies([list(x) for x in zip(*each)], n_train, vocabulary), pa.binary())})
+        return pa.table({"block": table["block"].cast(pa.int64()), "part": pa.array([part] * table.num_rows, pa.int32()), "payload": pa.array(_replies([list(x) for x in zip(*each)], n_train, vocabulary), pa.binary())})
     return back
 
 
@@ -148,7 +153,7 @@ def _totals(keys: list[np.ndarray], answers: pa.Table, shards: int) -> tuple[lis
 
 
 class Automaton:
-    """The part of the whole automaton that a block of texts can reach.
+    """The part of the whole automaton that a block of texts can reach. Numbers of tokens, arcs and states of a block fit 32 bits.
 
     States are seen histories (0: the empty one). An arc leads from a history by one more token, that is, it is a seen
     n-gram: `weight` is its log-probability and `follow` the state it leads to. From the empty history there is an arc
@@ -160,10 +165,10 @@ class Automaton:
         order, tokens = len(ids), int(rows[-1])
         fail, backoff, weight, follow = [np.zeros(1, np.int64)], [np.zeros(1)], [], []
         self.arc = []
-        states, arcs, below = 1, 0, None
+        states, arcs, below = 1, 0, {}
         for n in range(1, order + 1):
             total, place, own = totals[n - 1], places[n - 1], ids[n - 1]
-            one = np.zeros(len(total), np.int64)
+            one = np.zeros(len(total), np.int32)
             one[own] = place  # a place where each n-gram ends
             if n == 1:
                 prob, suffix = floor, np.zeros(len(total), np.int64)
@@ -177,10 +182,10 @@ class Automaton:
                 states += int(seen.sum())
                 fail.append(suffix[seen])
                 backoff.append(np.log10(mass[n] / (total[seen] + mass[n])))
-            at = np.full(tokens, -1, np.int64)
+            at = np.full(tokens, -1, np.int32)
             at[place] = own
             has = at >= 0
-            self.arc.append(np.where(has & (seen[at] | (n == 1)), at + arcs, -1) if len(total) else at)
+            self.arc.append(np.where(has & (seen[at] | (n == 1)), at + np.int32(arcs), np.int32(-1)) if len(total) else at)
             arcs += len(total)
             weight.append(np.log10(prob))
             follow.append(state)
@@ -237,9 +242,15 @@ def _score(order: int, held_out: int, mass: tuple):
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return _ARROW.empty_table()
-        rows, grams, places = _ngrams(texts, order)
-        keys, ids = zip(*(C.factorize(gram) for gram in grams))
-        totals, n_train, vocabulary = _totals(list(keys), answers, answers.num_rows)  # every range answers
+        rows, grams = _ngrams(texts, order)
+        keys, ids, places = [], [], []
+        for gram, place in grams:
+            key, own = C.factorize(gram)
+            keys.append(key)
+            ids.append(own.astype(np.int32))
+            places.append(place)
+        totals, n_train, vocabulary = _totals(keys, answers, answers.num_rows)  # every range answers
+        del keys, grams
         totals = [t.astype(float) for t in totals]
         floor = (totals[0] + 0.1) / (n_train + 0.1 * (vocabulary + 1))
         auto = Automaton(rows, places, ids, totals, floor, mass)
@@ -256,26 +267,55 @@ def _score(order: int, held_out: int, mass: tuple):
 _ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("vocabulary", pa.int64())])
 
 
+def _packed(block_bytes: int):
+    """Blocks of texts as they are read, each compressed: (block, payload)."""
+    def run(batches):
+        task, k, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def block():
+            rows = pa.Table.from_batches(held).combine_chunks()
+            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + k], pa.int64()), pa.array([C.freeze(rows)], pa.binary())], ["block", "payload"])
+
+        for b in C.slices(batches, most=block_bytes):
+            n = len(C.utf8(b.column("text"))[0])
+            if held and size + n > block_bytes:
+                yield block()
+                k, held, size = k + 1, [], 0
+            held.append(b)
+            size += n
+        if held:
+            yield block()
+    return run
+
+
+def _thawed(table: pa.Table) -> pa.Table:
+    """The texts of a block's one packed row."""
+    rows = C.thaw(table["payload"][0].as_py())
+    return rows.append_column("block", pa.array([table["block"][0].as_py()] * rows.num_rows, pa.int64()))
+
+
 def score_texts(docs: DataFrame, order: int = ORDER, mass: tuple = MASS, held_out: int = HELD_OUT, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, fan: int = FAN) -> DataFrame:
     """Score every whole text of (doc_id, text) under a model of the texts whose crc32(doc_id as text) mod `held_out` is not 0.
 
     One row out for each row in. A null text is empty and has its end token alone; a null id counts as empty text in the
     crc and so is held out; repeated rows are scored each and learnt each; columns besides doc_id and text are ignored;
     an empty table gives no rows; a very long text is a block of its own size. Memory is that of one block and one shard,
-    whatever the corpus."""
+    whatever the corpus. The table should come in the same order whenever it is read, as written tables do: its blocks
+    are made where it is read, once, and a lost executor's are made again."""
     spark, total = docs.sparkSession, C.text_bytes(docs)
     blocks, shards = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
-    ranges = min(shards, fan)
+    ranges, teams = min(shards, fan), math.ceil(blocks / fan)
     sub = -(-shards // ranges)
     n, m = C.parts(spark, total, 32 << 20), C.parts(spark, 3 * total, 64 << 20)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
-    asked = texts.groupBy("block").applyInArrow(C.lean(_ask(ranges, order, held_out)), "block int, part int, payload binary")
+    ask, score = _ask(ranges, order, held_out), _score(order, held_out, mass)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_packed(block_bytes), "block long, payload binary").repartition(n, "block")
+    asked = texts.groupBy("block").applyInArrow(C.lean(lambda table: ask(_thawed(table))), "block long, part int, payload binary")
     if sub == 1:
-        answers = asked.repartition(m, "part").groupBy("part").applyInArrow(C.lean(_answer(order)), "block int, part int, payload binary")
+        answers = asked.repartition(m, "part").groupBy("part").applyInArrow(C.lean(_answer(order)), "block long, part int, payload binary")
     else:
-        asked = asked.withColumn("team", F.floor(F.col("block") / fan).cast("int")).repartition(m, "team", "part")
-        merged = asked.groupBy("team", "part").applyInArrow(C.lean(_merge(order, ranges, sub)), "team int, part int, payload binary")
-        found = merged.repartition(m, "part").groupBy("part").applyInArrow(C.lean(_answer(order, "team")), "team int, part int, payload binary")
+        asked = asked.withColumn("team", F.pmod(F.xxhash64("block"), F.lit(teams))).repartition(m, "team", "part")
+        merged = asked.groupBy("team", "part").applyInArrow(C.lean(_merge(order, ranges, sub)), "team long, part int, payload binary")
+        found = merged.repartition(m, "part").groupBy("part").applyInArrow(C.lean(_answer(order, "team")), "team long, part int, payload binary")
         found = found.withColumnRenamed("part", "shard").withColumn("part", F.floor(F.col("shard") / sub).cast("int"))
-        answers = asked.groupBy("team", "part").cogroup(found.select("team", "part", F.col("shard"), "payload").groupBy("team", "part")).applyInArrow(C.lean(_return(order, ranges, sub)), "block int, part int, payload binary")
-    return texts.groupBy("block").cogroup(answers.repartition(n, "block").groupBy("block")).applyInArrow(C.lean(_score(order, held_out, mass)), SCHEMA)
+        answers = asked.groupBy("team", "part").cogroup(found.groupBy("team", "part")).applyInArrow(C.lean(_return(order, ranges, sub)), "block long, part int, payload binary")
+    return texts.groupBy("block").cogroup(answers.repartition(n, "block").groupBy("block")).applyInArrow(C.lean(lambda table, got: score(_thawed(table), got) if table.num_rows else _ARROW.empty_table()), SCHEMA)
