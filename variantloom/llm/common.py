@@ -37,6 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def column(name: str):
+    """A column by its whole name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, with marks before them until none is a column's, whatever its case."""
     taken, out = {c.lower() for c in columns}, []

@@ -31,8 +31,8 @@ PERCENT = 90
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 24 << 20
 FAMILY_SHINGLES = 3_000_000
-_OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("shard", pa.int32()), ("payload", pa.binary())])
-OUT = "kind int, doc_id long, sid long, n long, shard int, payload binary"
+_OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("shard", pa.int32()), ("payload", pa.binary())])
+OUT = "kind int, doc_id long, row_key long, sid long, n long, shard int, payload binary"
 
 
 def prefix(n, percent: int = PERCENT):
@@ -136,6 +136,7 @@ def _file(shards: int, k: int, percent: int):
         return pa.table({
             "kind": np.repeat(np.array([0, 1, 2], np.int32), [d, s, p]),
             "doc_id": pa.concat_arrays([texts["doc_id"].combine_chunks().cast(pa.int64()), pa.nulls(s + p, pa.int64())]),
+            "row_key": pa.concat_arrays([texts["row_key"].combine_chunks().cast(pa.int64()), pa.nulls(s + p, pa.int64())]),
             "sid": np.concatenate([_signed(sid), _signed(sid[first[used]]), np.zeros(p, np.int64)]),
             "n": np.concatenate([size, n[used], np.zeros(p, np.int64)]).astype(np.int64),
             "shard": np.concatenate([np.zeros(d + s, np.int32), some.astype(np.int32)]),
@@ -305,18 +306,24 @@ def link_texts(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block_
     """One row for each row of (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id that links reach).
 
     A null or empty text has an empty set and is linked with nothing. Rows with equal sets are linked; repeated rows too.
-    Null ids take part but name no component (it is null where no other id is in it). Other columns are not read; an empty
-    table gives no rows. A family of more shingles than `family_shingles` is joined piece against piece."""
+    Null ids take part but name no component (it is null where no other id is in it). Other columns are not read; a very
+    long text is a block of its own size; an empty table gives no rows. A family of more shingles than `family_shingles` is
+    joined in pieces."""
+    return _linked(docs, k, percent, block_bytes, shard_bytes, family_shingles).select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
+
+
+def _linked(docs: DataFrame, k: int, percent: int, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, family_shingles: int = FAMILY_SHINGLES) -> DataFrame:
+    """(doc_id, row_key, n_shingles, first): first is the component's first row, by id (null last) and key."""
     if not 0 < percent < 100:
         raise ValueError(f"percent must be between 0 and 100: {percent}")
     spark, total = docs.sparkSession, C.text_bytes(docs)
     blocks, shards = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
     n = C.parts(spark, total, 32 << 20)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(n, "block")
     asked = texts.groupBy("block").applyInArrow(C.lean(_ask(shards, k)), "shard int, block int, payload binary")
     answers = asked.groupBy("shard").applyInArrow(C.lean(_answer), "block int, shard int, payload binary")
     filed = C.stash(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.lean(_file(shards, k, percent)), OUT), "filed", by="kind")
-    ids = filed.where("kind = 0").select("doc_id", "sid", F.col("n").alias("n_shingles"))
+    ids = filed.where("kind = 0").select("doc_id", "row_key", "sid", F.col("n").alias("n_shingles"))
     met = filed.where("kind = 2").groupBy("shard").applyInArrow(C.lean(_meet(percent)), "a long, b long")
     families = C.stash(components(met).withColumnsRenamed({"node": "sid", "root": "family"}), "families")
     sets = filed.where("kind = 1").groupBy("sid").agg(F.first("n").alias("n"), F.first("payload").alias("payload"))
@@ -333,15 +340,28 @@ def link_texts(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block_
     found = member.groupBy("family", "x", "y").applyInArrow(_link(percent), "a long, b long")
     roots = components(found) if many else found.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = C.stash(roots.withColumnRenamed("node", "sid"), "roots")
-    each = C.stash(ids.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least")), "sets").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    named = each.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = C.salted_join(each.select("sid", "root"), named, "root", "sid", how="inner").select("sid", "component_id")
-    linked = C.salted_join(ids.where("n_shingles > 0"), by_set, "sid", "doc_id").select("doc_id", "n_shingles", "component_id")
-    return linked.unionByName(ids.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    each = C.stash(ids.where("n_shingles > 0").groupBy("sid").agg(F.min(row).alias("least")), "sets").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    named = each.groupBy("root").agg(F.min("least").alias("first"))
+    by_set = C.salted_join(each.select("sid", "root"), named, "root", "sid", how="inner").select("sid", "first")
+    linked = C.salted_join(ids.where("n_shingles > 0"), by_set, "sid", "row_key").select("doc_id", "row_key", "n_shingles", "first")
+    return linked.unionByName(ids.where("n_shingles = 0").select("doc_id", "row_key", "n_shingles", row.alias("first")))
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows, with all their columns, whose doc_id names their component, and all rows without an id or a word: one document of each group stays."""
-    stay = link_texts(docs, k, percent).where("component_id <> doc_id and n_shingles > 0").select(F.col("doc_id").alias("_gone")).distinct()
-    stay = C.stash(stay, "gone")
-    return docs.join(stay, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    """One row of each group of linked texts, with all its columns, whatever these are called: the one with the smallest doc_id (null last).
+
+    Rows are told apart by id and text, so an id that several texts share loses none that isn't linked. Of rows alike in
+    both one stays. Texts without a word (null and empty ones) are linked with nothing and stay, each row of them. An empty
+    table gives an empty one."""
+    doc_id, key, times = C.fresh(docs.columns, "id", "key", "times")
+    rows = C.stash(_linked(docs, k, percent).where("n_shingles > 0"), "linked")
+    mine = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_key") == F.col("first.row_key"))
+    side = lambda df: df.select(F.col("doc_id").alias(doc_id), F.col("row_key").alias(key))
+    here = (C.column("doc_id").cast("long").eqNullSafe(F.col(doc_id))) & (F.xxhash64("text") == F.col(key))
+    kept = docs.join(side(rows.where(~mine).distinct()), here, "left_anti")
+    repeated = C.stash(side(rows.where(mine).groupBy("doc_id", "row_key").agg(F.count("*").alias("n")).where("n > 1")), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, here, "left_semi").withColumn(key, F.xxhash64("text"))
+    return kept.join(repeated, here, "left_anti").unionByName(once.dropDuplicates(["doc_id", key]).drop(key))
