@@ -2,11 +2,12 @@
 
 A source's target is met by whole passes over it and, for the rest, by the documents whose hash lies below a threshold.
 Words are summed by source and hash bucket; where the running sum crosses the budget, only that bucket is split again,
-level by level, until one hash is left. A document is then judged by its own hash alone: nothing is sorted."""
+level by level, until one hash is left. What the threshold leaves of a budget is then filled by up to FILLS hashes beyond
+it, each the one whose words come nearest to the rest. A document is judged by its own hash alone: nothing is sorted."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ from . import common as C
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
-LEVELS, BITS = 4, 15
+LEVELS, BITS = 6, 10
+FILLS = 3
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def targets(slim: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Data
 
 
 def thresholds(slim: DataFrame, by: DataFrame) -> DataFrame:
-    """by, with the hash below which a document is taken once more. A level's histogram has at most 2 ** BITS rows a source."""
+    """by, with the hash below which a document is taken once more, and the hashes beyond it that are taken too. A level's histogram has at most 2 ** BITS rows a source."""
     running = W.partitionBy("key").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     state = by.where("rest > 0").select("key", F.col("rest").alias("need"), F.lit(0).cast("long").alias("prefix"))
     for level in range(LEVELS):
@@ -50,20 +52,32 @@ def thresholds(slim: DataFrame, by: DataFrame) -> DataFrame:
         inside = slim.select("key", "size", F.shiftright("hash", shift).alias("prefix"), F.shiftright("hash", shift - BITS).alias("bucket"))
         words = inside.join(state, ["key", "prefix"]).groupBy("key", "bucket").agg(F.sum("size").alias("size"), F.first("need").alias("need"))
         words = words.withColumn("upto", F.sum("size").over(running)).where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("size") < F.col("need")))
-        state = words.select("key", (F.col("need") - (F.col("upto") - F.col("size"))).alias("need"), F.col("bucket").alias("prefix"), F.col("size").alias("last"))
-    edge = state.select("key", (F.col("prefix") + (F.col("need") * 2 >= F.col("last")).cast("long")).alias("below"))  # the last hash: whichever comes nearer
-    return by.join(edge, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("below", F.lit(0).cast("long")).alias("below"))
+        state = words.select("key", (F.col("need") - (F.col("upto") - F.col("size"))).alias("need"), F.col("bucket").alias("prefix"))
+    state = C.stash(state.select("key", F.col("prefix").alias("below"), "need", F.array().cast("array<long>").alias("more")), "threshold")
+    # a hash beyond the threshold helps where its words are fewer than twice what is missing
+    beyond = slim.where("size > 0").join(small(state.select("key", "below", F.col("need").alias("missing"))), "key").where("hash >= below and size < 2 * missing")
+    beyond = C.stash(beyond.groupBy("key", "hash").agg(F.sum("size").alias("words")), "beyond")
+    for _ in range(FILLS):
+        off = F.abs(F.col("words") - F.col("need"))
+        near = beyond.join(state, "key").where(~F.array_contains("more", F.col("hash")) & (off < F.abs("need"))).groupBy("key").agg(F.min(F.struct(off.alias("off"), "hash", "words")).alias("best"))
+        state = state.join(near, "key", "left").select("key", "below", (F.col("need") - F.coalesce("best.words", F.lit(0))).alias("need"), F.when(F.col("best").isNull(), F.col("more")).otherwise(F.array_append("more", F.col("best.hash"))).alias("more"))
+    return by.join(state, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("below", F.lit(0).cast("long")).alias("below"), F.coalesce("more", F.array().cast("array<long>")).alias("more"))
+
+
+def _times(whole: str, below: str, more: str, hash_) -> Column:
+    return F.col(whole) + (hash_ < F.col(below)).cast("long") + F.array_contains(F.col(more), hash_).cast("long")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """One row for each row of (doc_id, text, source): doc_id, size, source_size, target, taken.
 
     Null sources are a source of their own, the last. Null texts have size 0. Rows alike in id and size share a hash and so
-    a fate; other columns are not read; an empty table gives no rows. The table of sources is joined as Spark sees fit; a
-    source that holds a third of the rows is split by the adaptive skew join."""
+    a fate; of hashes that come equally near a budget the smaller is taken. Other columns are not read; a very long text
+    counts whole; an empty table gives no rows. The table of sources is joined as Spark sees fit; a source that holds a
+    third of the rows is split by the adaptive skew join."""
     slim = sized(docs)
     edges = C.stash(thresholds(slim, C.stash(targets(slim, weights, most), "targets")), "edges")
-    taken = F.col("size") * (F.col("whole") + (F.col("hash") < F.col("below")).cast("long"))
+    taken = F.col("size") * _times("whole", "below", "more", F.col("hash"))
     return slim.join(small(edges), "key").select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
@@ -73,13 +87,13 @@ def small(edges: DataFrame, most: int = 100_000) -> DataFrame:
 
 
 def take(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The rows of the mix, each as often as it is taken, with all columns. Rows without words stay once: they cost no budget."""
-    columns = docs.columns
-    slim = sized(docs)
+    """The rows of the mix, each as often as it is taken, with all columns, whatever these are called. Rows without words stay once: they cost no budget. Null sources and ids and repeated rows count as in `mix`; an empty table gives an empty one."""
+    columns, slim = docs.columns, sized(docs)
+    key, size, whole, below, more, times, copy = C.fresh(columns, "key", "size", "whole", "below", "more", "times", "copy")
     edges = small(C.stash(thresholds(slim, C.stash(targets(slim, weights, most), "targets")), "edges"))
-    plain = docs.withColumns({"_key": F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")),
-                              "_size": F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")).cast("long")})
-    digits = F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("|"), F.col("_size").cast("string")).cast("binary")), 1, LEVELS * BITS // 4)
-    times = F.when(F.col("_size") == 0, 1).otherwise(F.col("_whole") + (F.conv(digits, 16, 10).cast("long") < F.col("_below")).cast("long"))
-    joined = plain.join(edges.select(F.col("key").alias("_key"), F.col("whole").alias("_whole"), F.col("below").alias("_below")), "_key").withColumn("_times", times.cast("int"))
-    return joined.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*columns)
+    plain = docs.withColumns({key: F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")),
+                              size: F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")).cast("long")})
+    digits = F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("|"), F.col(size).cast("string")).cast("binary")), 1, LEVELS * BITS // 4)
+    often = F.when(F.col(size) == 0, 1).otherwise(_times(whole, below, more, F.conv(digits, 16, 10).cast("long")))
+    joined = plain.join(edges.select(F.col("key").alias(key), F.col("whole").alias(whole), F.col("below").alias(below), F.col("more").alias(more)), key).withColumn(times, often.cast("int"))
+    return joined.where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(C.column(c) for c in columns))

@@ -10,6 +10,8 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +74,7 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 
 def _pieces(path: str, end_id: int, window: int, shards: int):
     def run(batches):
+        task, met = TaskContext.get().partitionId(), {}
         for b in C.slices(batches, most=1 << 20):
             ids, rows = ending(*encoder(path, False).encode(b.column("text")), end_id)
             total = np.diff(rows)
@@ -80,8 +83,12 @@ def _pieces(path: str, end_id: int, window: int, shards: int):
             start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * window
             length = np.minimum(window, total[doc] - start)
             begin = rows[:-1][doc] + start
-            # a full window stays by itself in any shard; what remains is dealt by its document and place
-            seed = C.hash_slices(*_id_bytes(b.column("doc_id"), doc, start))
+            # a piece is dealt by its document, place, and how many rows like it its task met before: copies spread too
+            own = C.hash_slices(*_row_bytes(b.column("doc_id"), _row_hashes(ids, rows), np.zeros(len(total), np.int64)))
+            again = np.empty(len(own), np.int64)
+            for i, x in enumerate(own.tolist()):
+                again[i] = met[x] = met.get(x, -1) + 1
+            seed = C.chain(C.chain(own, C.mix(((again << 24) + task).astype(C.U64)))[doc], start.astype(C.U64))
             yield pa.RecordBatch.from_arrays([
                 pa.array((seed % C.U64(shards)).astype(np.int32)), b.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(total[doc]),
                 pa.array([C.planes(ids[i : i + k]) for i, k in zip(begin.tolist(), length.tolist())], pa.binary()),
@@ -89,14 +96,21 @@ def _pieces(path: str, end_id: int, window: int, shards: int):
     return run
 
 
-def _id_bytes(ids: pa.Array, doc: np.ndarray, start: np.ndarray) -> tuple:
-    both = np.stack([ids.fill_null(-1).to_numpy(zero_copy_only=False)[doc].astype(np.int64), start.astype(np.int64)], 1)
-    return both.reshape(-1).view(np.uint8), np.arange(len(doc)) * 16, np.full(len(doc), 16)
+def _row_hashes(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    raw = np.ascontiguousarray(ids, "<u4")
+    return np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b].tobytes()) for a, b in zip(rows.tolist(), rows[1:].tolist())), C.U64, len(rows) - 1)
+
+
+def _row_bytes(ids: pa.Array, text: np.ndarray, start: np.ndarray) -> tuple:
+    both = np.stack([ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), text.view(np.int64), start.astype(np.int64)], 1)
+    return both.reshape(-1).view(np.uint8), np.arange(len(both)) * 24, np.full(len(both), 24)
 
 
 def _pack(window: int):
     def run(table: pa.Table) -> pa.Table:
-        by = np.lexsort([table[c].fill_null(-1).to_numpy() for c in ("length", "start", "doc_id")])  # whatever order the shuffle brought
+        packed = table["packed"].to_pylist()
+        own = np.fromiter(map(xxhash.xxh3_64_intdigest, packed), C.U64, len(packed))
+        by = np.lexsort([own, *(table[c].fill_null(-1).to_numpy() for c in ("doc_tokens", "length", "start", "doc_id"))])  # whatever order the shuffle brought; rows alike in all of it are alike
         table = table.take(pa.array(by))
         length = table["length"].to_numpy()
         where, offset = best_fit(length, window)
@@ -112,11 +126,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW,
     """Pieces of all whole texts of (doc_id, text), with the sequence and the offset at which each lies.
 
     doc_id, start, length, doc_tokens, sequence_id, offset, and ids: little-endian unsigned 32-bit integers. A null or empty
-    text is its end id alone. Repeated rows and null ids are packed each; other columns are not read; an empty table gives
-    no rows. Memory is that of one shard."""
-    shards = max(1, math.ceil(C.text_bytes(docs) / shard_bytes))
+    text is its end id alone. Repeated rows and null ids are packed each, and dealt over all shards; other columns are not
+    read; a very long text is cut into windows; an empty table gives no rows. Memory is that of one shard."""
+    total = C.text_bytes(docs)
+    shards = max(1, math.ceil(total / shard_bytes))
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, end_id, window, shards), "shard int, doc_id long, start long, length long, doc_tokens long, packed binary")
-    return pieces.groupBy("shard").applyInArrow(C.lean(_pack(window)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return pieces.repartition(C.parts(docs.sparkSession, total, 64 << 20), "shard").groupBy("shard").applyInArrow(C.lean(_pack(window)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -97,6 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample: int = SAMP
     labelled row all weights are 0. A repeated id may bring several rows; the bound holds for rows."""
     drawn = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .where(F.col("quality").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != test_fold))
+             .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")  # labels without a document use up no part of the sample
              .groupBy("doc_id").agg(F.max("quality").alias("quality"), F.xxhash64("doc_id").alias("draw")).orderBy("draw", "doc_id").limit(sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(drawn), "doc_id").select("draw", "quality", "text")  # at most `sample` rows of three numbers
     vectors = rows.mapInArrow(_vectors(bits), "draw long, quality int, slots binary, vals binary").orderBy("draw", "slots").limit(sample)
@@ -112,7 +113,7 @@ def probabilities(texts: pa.Array, weights: np.ndarray, bits: int = BITS) -> np.
 
 
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> DataFrame:
-    """One row for each row of (doc_id, text): doc_id, held_out, score, predicted. Null and empty texts get the bias alone; other columns are not read."""
+    """One row for each row of (doc_id, text): doc_id, held_out, score, predicted. Null and empty texts get the bias alone, repeated rows the same score each, a very long text one of its whole; other columns are not read; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** bits numbers, whatever the input
 
     def run(batches):
@@ -125,7 +126,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, folds: int = F
 
 
 def keep_good(docs: DataFrame, weights: np.ndarray, bits: int = BITS, least: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, that score at least `least`."""
+    """The rows, with all their columns, that score at least `least`. A null or empty text scores as the bias alone; an empty table gives an empty one."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):

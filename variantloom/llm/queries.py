@@ -90,6 +90,11 @@ SELECT p.page_id, host, path, m.rule, coalesce(m.verdict, CASE WHEN {_OWN} THEN
 FROM p LEFT JOIN m ON m.page_id = p.page_id AND m.k = 1
 """
 
+_FILLS = ",\n".join(f"""f{i} AS (SELECT b.source, b.hash, b.words FROM b JOIN n{i} ON b.source IS NOT DISTINCT FROM n{i}.source
+       WHERE NOT under AND words > 0 AND abs(words - need) < abs(need){''.join(f" AND NOT EXISTS (SELECT 1 FROM f{j} WHERE f{j}.source IS NOT DISTINCT FROM b.source AND f{j}.hash = b.hash)" for j in range(i))}
+       QUALIFY row_number() OVER (PARTITION BY b.source ORDER BY abs(words - need), b.hash) = 1),
+n{i + 1} AS (SELECT n{i}.source, need - coalesce(words, 0) AS need FROM n{i} LEFT JOIN f{i} ON n{i}.source IS NOT DISTINCT FROM f{i}.source)""" for i in range(mixing.FILLS))
+_FILLED = "".join(f" UNION ALL SELECT source, hash FROM f{i}" for i in range(mixing.FILLS))
 OP5 = f"""
 WITH d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> ''))::BIGINT AS size FROM documents),
 h AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || size::VARCHAR), 1, 15))::BIGINT AS hash FROM d),
@@ -103,10 +108,13 @@ s5 AS (SELECT *, round(least(cap, water * weight), 6) AS target FROM s4),
 s6 AS (SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size))::BIGINT ELSE 0 END AS whole FROM s5),
 s7 AS (SELECT *, target - whole * source_size AS rest FROM s6),
 k AS (SELECT source, hash, sum(size) AS words FROM h GROUP BY source, hash),
-c AS (SELECT source, hash, words, sum(words) OVER (PARTITION BY source ORDER BY hash) AS upto FROM k),
-e AS (SELECT c.source, c.hash, upto < rest OR (upto - words < rest AND (rest - (upto - words)) * 2 >= words) AS more FROM c JOIN s7 ON c.source IS NOT DISTINCT FROM s7.source)
-SELECT h.doc_id, h.size, s7.source_size, s7.target, (h.size * (s7.whole + (rest > 0 AND e.more)::BIGINT))::BIGINT AS taken
-FROM h JOIN s7 ON h.source IS NOT DISTINCT FROM s7.source JOIN e ON h.source IS NOT DISTINCT FROM e.source AND h.hash = e.hash
+c AS (SELECT k.source, hash, words, sum(words) OVER (PARTITION BY k.source ORDER BY hash) AS upto, rest FROM k JOIN s7 ON k.source IS NOT DISTINCT FROM s7.source WHERE rest > 0),
+b AS (SELECT source, hash, words, upto < rest AS under FROM c),
+n0 AS (SELECT source, any_value(rest) - coalesce(sum(words) FILTER (WHERE upto < rest), 0) AS need FROM c GROUP BY source),
+{_FILLS},
+e AS (SELECT source, hash FROM b WHERE under{_FILLED})
+SELECT h.doc_id, h.size, s7.source_size, s7.target, (h.size * (s7.whole + (e.hash IS NOT NULL)::BIGINT))::BIGINT AS taken
+FROM h JOIN s7 ON h.source IS NOT DISTINCT FROM s7.source LEFT JOIN e ON h.source IS NOT DISTINCT FROM e.source AND h.hash = e.hash
 """
 
 _BAD = " OR ".join(f"regexp_matches(x, '{p}')" for p in (rules.NAVIGATION, rules.PUNCTUATION, rules.BOILERPLATE))
