@@ -185,7 +185,7 @@ def test_urls(spark):
     first = urls.judge(df).where("page_id = 0").first()
     assert (first.host, first.path) == ("a.example.com", "/en/70")
     with pytest.raises(ValueError):
-        urls.index((urls.word_rule("x"),), {})
+        urls.rule_table(spark, (urls.word_rule("x"),))
 
 
 def test_mixing(docs, rows, none):

@@ -3,7 +3,7 @@
 A source's target is met by whole passes over it and, for the rest, by the documents whose hash lies below a threshold.
 Words are summed by source and hash bucket; where the running sum crosses the budget, only that bucket is split again,
 level by level, until one hash is left. What the threshold leaves of a budget is then filled by up to FILLS hashes beyond
-it, each the one whose words come nearest to the rest. A document is judged by its own hash alone: nothing is sorted."""
+it, each the one with the most words that still fit; the last is the one whose words come nearest, fitting or not. A document is judged by its own hash alone: nothing is sorted."""
 
 from __future__ import annotations
 
@@ -57,9 +57,10 @@ def thresholds(slim: DataFrame, by: DataFrame) -> DataFrame:
     # a hash beyond the threshold helps where its words are fewer than twice what is missing
     beyond = slim.where("size > 0").join(small(state.select("key", "below", F.col("need").alias("missing"))), "key").where("hash >= below and size < 2 * missing")
     beyond = C.stash(beyond.groupBy("key", "hash").agg(F.sum("size").alias("words")), "beyond")
-    for _ in range(FILLS):
+    for k in range(FILLS):
         off = F.abs(F.col("words") - F.col("need"))
-        near = beyond.join(state, "key").where(~F.array_contains("more", F.col("hash")) & (off < F.abs("need"))).groupBy("key").agg(F.min(F.struct(off.alias("off"), "hash", "words")).alias("best"))
+        helps = off < F.col("need") if k == FILLS - 1 else F.col("words") <= F.col("need")
+        near = beyond.join(state, "key").where(~F.array_contains("more", F.col("hash")) & helps).groupBy("key").agg(F.min(F.struct(off.alias("off"), "hash", "words")).alias("best"))
         state = state.join(near, "key", "left").select("key", "below", (F.col("need") - F.coalesce("best.words", F.lit(0))).alias("need"), F.when(F.col("best").isNull(), F.col("more")).otherwise(F.array_append("more", F.col("best.hash"))).alias("more"))
     return by.join(state, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("below", F.lit(0).cast("long")).alias("below"), F.coalesce("more", F.array().cast("array<long>")).alias("more"))
 

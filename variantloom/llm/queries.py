@@ -91,7 +91,7 @@ FROM p LEFT JOIN m ON m.page_id = p.page_id AND m.k = 1
 """
 
 _FILLS = ",\n".join(f"""f{i} AS (SELECT b.source, b.hash, b.words FROM b JOIN n{i} ON b.source IS NOT DISTINCT FROM n{i}.source
-       WHERE NOT under AND words > 0 AND abs(words - need) < abs(need){''.join(f" AND NOT EXISTS (SELECT 1 FROM f{j} WHERE f{j}.source IS NOT DISTINCT FROM b.source AND f{j}.hash = b.hash)" for j in range(i))}
+       WHERE NOT under AND words > 0 AND {"abs(words - need) < need" if i == mixing.FILLS - 1 else "words <= need"}{''.join(f" AND NOT EXISTS (SELECT 1 FROM f{j} WHERE f{j}.source IS NOT DISTINCT FROM b.source AND f{j}.hash = b.hash)" for j in range(i))}
        QUALIFY row_number() OVER (PARTITION BY b.source ORDER BY abs(words - need), b.hash) = 1),
 n{i + 1} AS (SELECT n{i}.source, need - coalesce(words, 0) AS need FROM n{i} LEFT JOIN f{i} ON n{i}.source IS NOT DISTINCT FROM f{i}.source)""" for i in range(mixing.FILLS))
 _FILLED = "".join(f" UNION ALL SELECT source, hash FROM f{i}" for i in range(mixing.FILLS))
