@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_llm import documents, split
-from variantloom.llm import lm, pii, setjoin, tokens, urls
+from variantloom.llm import common, dedup, lm, mixing, packing, pii, quality, setjoin, tokens, urls
 from variantloom.llm.queries import tokenizer
 
 
@@ -87,3 +87,89 @@ def test_language_model_over_ranges_of_shards(spark):
     plain, ranged = (sorted(map(repr, lm.score_texts(docs, fan=fan, **sizes).select("doc_id", "n_tokens", "n_known", "train_tokens", "vocabulary", F.round("score", 8)).collect())) for fan in (4096, 2))
     assert plain == ranged and len(plain) == 151
     assert lm.score_texts(docs).count() == 151 and lm.ORDER >= 3
+
+
+LEAST, MOST = -(2**63), 2**63 - 1
+#: Names that the operators give columns of their own, with a mark and without.
+CLASHES = ["_sha", "sha", "_n", "n", "_id", "id", "_best", "best", "_word", "word", "_bits", "bits", "_again", "again", "_size", "size", "_key", "key", "_whole", "whole", "_below", "below", "more", "_times", "times", "_copy", "copy", "_gone", "chunk", "filter", "filed", "_salt", "row", "hash", "place", "first"]
+
+
+def clashing(spark, rows):
+    """(doc_id, text, source) with a column for each of these names, which tells the row it came with."""
+    return spark.createDataFrame([(i, t, s, *[1000 * k + j for j in range(len(CLASHES))]) for k, (i, t, s) in enumerate(rows)], "doc_id long, text string, source string, " + ", ".join(f"`{c}` long" for c in CLASHES))
+
+
+MIXED = [(3, "a b c d e f g h i j", "x"), (5, "a b c d e f g h i j k", "x"), (5, "another text that has nothing to do with it", "x"), (LEAST, " a b c d e f g h i j", None), (MOST, "x y z", "y"), (None, "x y z ", "y"), (None, None, None), (7, "", "x"), (8, "x y z", "y"), (8, "x y z", "y")]
+
+
+def test_no_column_of_the_user_is_touched(spark):
+    rows = clashing(spark, MIXED)
+    given = {tuple(r) for r in rows.collect()}
+    for kept in (dedup.keep_first(rows), setjoin.keep_one(rows, 5, 80), mixing.take(rows), quality.keep_good(rows, np.zeros((1 << quality.BITS) + 1))):
+        assert kept.columns == rows.columns and {tuple(r) for r in kept.collect()} <= given
+    none = rows.limit(0)
+    for kept in (dedup.keep_first(none), setjoin.keep_one(none, 5, 80), mixing.take(none), quality.keep_good(none, np.zeros((1 << quality.BITS) + 1))):
+        assert kept.columns == rows.columns and kept.count() == 0
+    pages = spark.createDataFrame([(1, "http://a.com/en/1", 77, 78, 79)], "page_id long, url string, _best long, filed long, best long")
+    got = urls.judge(pages).first()
+    assert (got["_best"], got.filed, got.best, got.rule) == (77, 78, 79, "com/en/")
+
+
+def test_ids_at_the_edge_of_long(spark):
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in dedup.groups(documents(spark, MIXED)).collect()}
+    assert (LEAST, LEAST, 2, True) in got and (3, LEAST, 2, False) in got and (None, None, 4, True) in got and (MOST, None, 4, False) in got
+    assert {(r.doc_id, r.text) for r in dedup.keep_first(documents(spark, [(LEAST, "a", "s"), (MOST, "a", "s"), (None, "a", "s")])).collect()} == {(LEAST, "a")}
+
+
+def test_one_row_of_each_group_stays_and_no_other_is_lost(spark):
+    kept = sorted(((r.doc_id, r.text) for r in setjoin.keep_one(documents(spark, MIXED), 5, 80).collect()), key=repr)
+    want = [(LEAST, MIXED[3][1]), (5, MIXED[2][1]), (8, "x y z"), (7, ""), (None, None)]
+    assert kept == sorted(want, key=repr)  # the unrelated text of id 5 stays, and one of the repeated rows
+
+
+def test_filter_holds_only_what_was_met_twice(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text number ', if(id < 40, id % 20, id)) AS text", "'s' AS source")
+    hashed = dedup.hashed_rows(docs)
+    alone, again = dedup.Repeated(hashed).split(hashed)
+    assert 40 <= again.count() < 80 and alone.count() + again.count() == 4000
+    assert {r[0] for r in dedup.groups(docs).where("group_size = 2").select("keep_id").collect()} == set(range(20))
+
+
+def test_mix_comes_near_every_target(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, "w " * int(rng.integers(1, 40)) + "w " * (400 if i % 50 == 0 else 0), f"s{i % 3}") for i in range(600)]
+    docs = documents(spark, rows)
+    source = {i: s for i, _, s in rows}
+    taken, target = collections.Counter(), {}
+    for r in mixing.mix(docs).collect():
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(abs(taken[s] - t) <= 40 for s, t in target.items())  # well within the 400 words and more of the largest
+
+
+def test_copies_and_null_ids_are_dealt_over_all_shards(spark):
+    docs = documents(spark, [(None, "one text", "s")] * 400 + [(4, "another text", "s")] * 400)
+    got = packing.pack(docs, tokenizer("byte_bpe_50k.json"), window=16, shard_bytes=800).collect()
+    shards = collections.Counter(r.sequence_id >> 32 for r in got)
+    assert sum(shards.values()) == 800 and len(shards) > 4 and max(shards.values()) < 400
+    again = packing.pack(docs.repartition(2), tokenizer("byte_bpe_50k.json"), window=16, shard_bytes=800)
+    assert again.count() == 800
+
+
+def test_labels_without_a_document_use_up_no_sample(spark):
+    docs = documents(spark, [(i, "good words here" if i % 2 else "bad *** ###", "s") for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(i, 1) for i in range(1000, 3000)], "doc_id long, quality int")
+    held = quality.fit(docs, labels, sample=60)
+    assert held.any() and (held == quality.fit(docs, labels.where("doc_id < 60"), sample=60)).all()
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})()
+
+    with pytest.raises(RuntimeError):
+        common.shared_dir(Session())

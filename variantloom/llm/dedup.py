@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 BITS_PER_ROW = 32
-#: Bits of the second filter for each place met twice, and its bound: 128 MB to each executor. Beyond some 64 million places it only lets more rows shuffle.
-BITS_PER_PLACE = 16
+#: Bits of the second filter for each place met twice, and its bound: 128 MB to each executor. Beyond some 32 million places it only lets more rows shuffle.
+BITS_PER_PLACE = 32
 MOST_WORDS = 1 << 24
 CHUNK = 1 << 10
 

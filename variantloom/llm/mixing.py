@@ -16,7 +16,7 @@ from . import common as C
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 LEVELS, BITS = 6, 10
-FILLS = 3
+FILLS, SHORT = 3, 8
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -43,30 +43,45 @@ def targets(slim: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Data
     return by.withColumn("whole", whole.cast("long")).select("key", "source_size", "target", "whole", (F.col("target") - F.col("whole") * F.col("source_size")).alias("rest"))
 
 
-def thresholds(slim: DataFrame, by: DataFrame) -> DataFrame:
-    """by, with the hash below which a document is taken once more, and the hashes beyond it that are taken too. A level's histogram has at most 2 ** BITS rows a source."""
+def _cross(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+    """(key, below, need): the hash below which the rows (key, size, hash) of a key stay within its budget (key, need), and what is left of that. A level's histogram has at most 2 ** BITS rows a source."""
     running = W.partitionBy("key").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
-    state = by.where("rest > 0").select("key", F.col("rest").alias("need"), F.lit(0).cast("long").alias("prefix"))
+    state = budgets.select("key", "need", F.lit(0).cast("long").alias("prefix"))
     for level in range(LEVELS):
         shift = (LEVELS - level) * BITS
-        inside = slim.select("key", "size", F.shiftright("hash", shift).alias("prefix"), F.shiftright("hash", shift - BITS).alias("bucket"))
+        inside = rows.select("key", "size", F.shiftright("hash", shift).alias("prefix"), F.shiftright("hash", shift - BITS).alias("bucket"))
         words = inside.join(state, ["key", "prefix"]).groupBy("key", "bucket").agg(F.sum("size").alias("size"), F.first("need").alias("need"))
         words = words.withColumn("upto", F.sum("size").over(running)).where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("size") < F.col("need")))
         state = words.select("key", (F.col("need") - (F.col("upto") - F.col("size"))).alias("need"), F.col("bucket").alias("prefix"))
-    state = C.stash(state.select("key", F.col("prefix").alias("below"), "need", F.array().cast("array<long>").alias("more")), "threshold")
-    # a hash beyond the threshold helps where its words are fewer than twice what is missing
-    beyond = slim.where("size > 0").join(small(state.select("key", "below", F.col("need").alias("missing"))), "key").where("hash >= below and size < 2 * missing")
+    return state.select("key", F.col("prefix").alias("below"), "need")
+
+
+def thresholds(slim: DataFrame, by: DataFrame) -> DataFrame:
+    """by, with what decides which documents are taken once more: below, the first threshold; limit and short_below, the second one, for documents of at most `limit` words; more, single hashes."""
+    first = C.stash(_cross(slim, by.where("rest > 0").select("key", F.col("rest").alias("need"))).withColumn("limit", F.floor(F.col("need") / SHORT).cast("long")), "threshold")
+    short = slim.where("size > 0").join(small(first.select("key", "below", "limit")), "key").where("hash >= below and size <= limit").select("key", "size", "hash")
+    short = C.stash(short.groupBy("key", "hash").agg(F.sum("size").alias("size")), "short")
+    whole = short.groupBy("key").agg(F.sum("size").alias("all"))  # where all short ones fit, all are taken
+    second = _cross(short, first.select("key", "need")).select("key", F.col("below").alias("cut"), F.col("need").alias("left"))
+    state = first.join(whole, "key", "left").join(second, "key", "left").select(
+        "key", "below", "limit", F.coalesce("cut", F.lit(1 << (LEVELS * BITS))).alias("short_below"), F.coalesce("left", F.col("need") - F.coalesce("all", F.lit(0))).alias("need"), F.array().cast("array<long>").alias("more"))
+    state = C.stash(state, "threshold")
+    # a hash beyond the thresholds helps where its words are fewer than twice what is missing
+    beyond = slim.where("size > 0").join(small(state.select("key", "below", "limit", "short_below", F.col("need").alias("missing"))), "key").where("hash >= below and not (size <= limit and hash < short_below) and size < 2 * missing")
     beyond = C.stash(beyond.groupBy("key", "hash").agg(F.sum("size").alias("words")), "beyond")
     for k in range(FILLS):
         off = F.abs(F.col("words") - F.col("need"))
         helps = off < F.col("need") if k == FILLS - 1 else F.col("words") <= F.col("need")
         near = beyond.join(state, "key").where(~F.array_contains("more", F.col("hash")) & helps).groupBy("key").agg(F.min(F.struct(off.alias("off"), "hash", "words")).alias("best"))
-        state = state.join(near, "key", "left").select("key", "below", (F.col("need") - F.coalesce("best.words", F.lit(0))).alias("need"), F.when(F.col("best").isNull(), F.col("more")).otherwise(F.array_append("more", F.col("best.hash"))).alias("more"))
-    return by.join(state, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("below", F.lit(0).cast("long")).alias("below"), F.coalesce("more", F.array().cast("array<long>")).alias("more"))
+        state = state.join(near, "key", "left").select("key", "below", "limit", "short_below", (F.col("need") - F.coalesce("best.words", F.lit(0))).alias("need"), F.when(F.col("best").isNull(), F.col("more")).otherwise(F.array_append("more", F.col("best.hash"))).alias("more"))
+    rule = F.struct(*(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("below", "limit", "short_below")), F.coalesce("more", F.array().cast("array<long>")).alias("more"))
+    return by.join(state, "key", "left").select("key", "source_size", "target", "whole", rule.alias("rule"))
 
 
-def _times(whole: str, below: str, more: str, hash_) -> Column:
-    return F.col(whole) + (hash_ < F.col(below)).cast("long") + F.array_contains(F.col(more), hash_).cast("long")
+def _times(whole: str, rule: str, size: str, hash_: Column) -> Column:
+    """How often a document is taken."""
+    of = lambda c: F.col(f"{rule}.{c}")
+    return F.col(whole) + ((hash_ < of("below")) | ((F.col(size) <= of("limit")) & (hash_ < of("short_below"))) | F.array_contains(of("more"), hash_)).cast("long")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -78,7 +93,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFram
     third of the rows is split by the adaptive skew join."""
     slim = sized(docs)
     edges = C.stash(thresholds(slim, C.stash(targets(slim, weights, most), "targets")), "edges")
-    taken = F.col("size") * _times("whole", "below", "more", F.col("hash"))
+    taken = F.col("size") * _times("whole", "rule", "size", F.col("hash"))
     return slim.join(small(edges), "key").select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
@@ -90,11 +105,11 @@ def small(edges: DataFrame, most: int = 100_000) -> DataFrame:
 def take(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with all columns, whatever these are called. Rows without words stay once: they cost no budget. Null sources and ids and repeated rows count as in `mix`; an empty table gives an empty one."""
     columns, slim = docs.columns, sized(docs)
-    key, size, whole, below, more, times, copy = C.fresh(columns, "key", "size", "whole", "below", "more", "times", "copy")
+    key, size, whole, rule, times, copy = C.fresh(columns, "key", "size", "whole", "rule", "times", "copy")
     edges = small(C.stash(thresholds(slim, C.stash(targets(slim, weights, most), "targets")), "edges"))
     plain = docs.withColumns({key: F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")),
                               size: F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")).cast("long")})
     digits = F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("|"), F.col(size).cast("string")).cast("binary")), 1, LEVELS * BITS // 4)
-    often = F.when(F.col(size) == 0, 1).otherwise(_times(whole, below, more, F.conv(digits, 16, 10).cast("long")))
-    joined = plain.join(edges.select(F.col("key").alias(key), F.col("whole").alias(whole), F.col("below").alias(below), F.col("more").alias(more)), key).withColumn(times, often.cast("int"))
+    often = F.when(F.col(size) == 0, 1).otherwise(_times(whole, rule, size, F.conv(digits, 16, 10).cast("long")))
+    joined = plain.join(edges.select(F.col("key").alias(key), F.col("whole").alias(whole), F.col("rule").alias(rule)), key).withColumn(times, often.cast("int"))
     return joined.where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(C.column(c) for c in columns))

@@ -107,10 +107,12 @@ s4 AS (SELECT *, arg_min(remaining / shares, ratio) FILTER (WHERE remaining / sh
 s5 AS (SELECT *, round(least(cap, water * weight), 6) AS target FROM s4),
 s6 AS (SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size))::BIGINT ELSE 0 END AS whole FROM s5),
 s7 AS (SELECT *, target - whole * source_size AS rest FROM s6),
-k AS (SELECT source, hash, sum(size) AS words FROM h GROUP BY source, hash),
-c AS (SELECT k.source, hash, words, sum(words) OVER (PARTITION BY k.source ORDER BY hash) AS upto, rest FROM k JOIN s7 ON k.source IS NOT DISTINCT FROM s7.source WHERE rest > 0),
-b AS (SELECT source, hash, words, upto < rest AS under FROM c),
-n0 AS (SELECT source, any_value(rest) - coalesce(sum(words) FILTER (WHERE upto < rest), 0) AS need FROM c GROUP BY source),
+k AS (SELECT source, hash, any_value(size) AS one, sum(size) AS words FROM h GROUP BY source, hash),
+c AS (SELECT k.source, hash, one, words, sum(words) OVER (PARTITION BY k.source ORDER BY hash) AS upto, rest FROM k JOIN s7 ON k.source IS NOT DISTINCT FROM s7.source WHERE rest > 0),
+m0 AS (SELECT source, any_value(rest) - coalesce(sum(words) FILTER (WHERE upto < rest), 0) AS need FROM c GROUP BY source),
+c2 AS (SELECT c.source, hash, words, need, sum(words) OVER (PARTITION BY c.source ORDER BY hash) AS upto FROM c JOIN m0 ON c.source IS NOT DISTINCT FROM m0.source WHERE c.upto >= rest AND words > 0 AND one <= floor(need / {mixing.SHORT})),
+b AS (SELECT c.source, c.hash, c.words, c.upto < rest OR coalesce(c2.upto < c2.need, false) AS under FROM c LEFT JOIN c2 ON c.source IS NOT DISTINCT FROM c2.source AND c.hash = c2.hash),
+n0 AS (SELECT m0.source, need - coalesce((SELECT sum(words) FROM c2 WHERE c2.source IS NOT DISTINCT FROM m0.source AND c2.upto < c2.need), 0) AS need FROM m0),
 {_FILLS},
 e AS (SELECT source, hash FROM b WHERE under{_FILLED})
 SELECT h.doc_id, h.size, s7.source_size, s7.target, (h.size * (s7.whole + (e.hash IS NOT NULL)::BIGINT))::BIGINT AS taken
