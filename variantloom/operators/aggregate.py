@@ -233,6 +233,13 @@ def qq(df, label, features, n_quantiles: int = QUANTILES, most_cells: int = FEAT
 AGGREGATORS: dict[str, Callable] = {"mean": mean, "median": median, "MAD": mad, "std": std, "KS": ks, "signedKS": signed_ks, "KSnegLogP": ks_neg_log_p, "QQ": qq, "AUROC": auroc, "AUROCnegLogP": auroc_neg_log_p}
 
 
+def register(name: str, statistic: Callable[[DataFrame, str, list[str]], DataFrame]) -> None:
+    """Add a statistic: (cells with a control flag, label, features) to one row for each label of a cell that isn't a control, with a column `{feature}_{name}` for each feature."""
+    if name in AGGREGATORS:
+        raise ValueError(f"There is an aggregator {name!r} already")
+    AGGREGATORS[name] = statistic
+
+
 def aggregate(df: DataFrame, name: str, label: str = LABEL, block_list: set[str] | None = None) -> DataFrame:
     """One row for each label of a cell that isn't a control, a column `{feature}_{name}` for each feature; columns on the block-list aren't computed."""
     if name not in AGGREGATORS:

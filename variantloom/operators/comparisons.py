@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.naming import BARCODE, BATCH, LABEL, col, feature_columns
-from ..functions.special import f_sf, studentized_range_sf
+from ..functions.special import f_sf, studentized_range_sf_many
 from ..functions.variant import classify_variant
 
 
@@ -19,7 +20,11 @@ def _f_sf(f: pd.Series, dfn: pd.Series, dfd: pd.Series) -> pd.Series:
 
 @F.pandas_udf(DoubleType())
 def _range_sf(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or x != x else studentized_range_sf(x, a, b) for x, a, b in zip(q, k, df)], dtype="float64")
+    """A variant's pairs share k and df, and are computed together."""
+    out = pd.Series(np.nan, index=q.index, dtype="float64")
+    for (groups, freedom), at in q.groupby([k, df]).groups.items():
+        out[at] = studentized_range_sf_many(q[at].to_numpy(float), groups, freedom)
+    return out
 
 
 def control_variants(df: DataFrame, label: str = LABEL, skip_pseudo: bool = False) -> DataFrame:
@@ -57,7 +62,7 @@ def tukey_q(scores: DataFrame, variant: str = LABEL, barcode: str = BARCODE, sco
 
 
 def tukey(scores: DataFrame, alpha: float = 0.05, **how) -> DataFrame:
-    rows = tukey_q(scores, **how).withColumn("p_adj", _range_sf("q", F.col("k").cast("double"), F.col("df").cast("double")))
+    rows = tukey_q(scores, **how).withColumn("p_adj", _range_sf("q", F.col("k").cast("double"), F.col("df").cast("double"))).withColumn("p_adj", F.when(~F.isnan("p_adj"), F.col("p_adj")))
     return rows.select("variant", "barcode", "group_mean", "comparison_barcode", "comparison_group_mean", "mean_diff", "p_adj", (F.col("p_adj") < alpha).alias("reject"))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.naming import LABEL, col, feature_columns, finite, no_nan, to_long
 from .normalize import one_row
 
+log = logging.getLogger(__name__)
+
 
 def pearson(x: str, y: str):
     """Correlation as an aggregate; null where either side is constant or empty, which plain corr would raise on."""
@@ -86,23 +91,61 @@ def varied_features(df: DataFrame, features: list[str], freq_cut: float = 0.05,
     return [f for f in features if f in ok]
 
 
-def correlated_features(df: DataFrame, features: list[str], most: float = 0.9) -> set[str]:
-    """Of each pair correlated beyond `most`, the feature that is more correlated with all. One pass of co-moments over whole rows; the matrix has one number for each pair of columns."""
-    import numpy as np
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def _co_moments(features: int, shift: list[float], stripe: int):
+    """Of each pair of columns, over the rows where both have a value: count, sums, sums of squares and of products; one row for each stripe of first columns."""
+    def run(batches):
+        held: dict[int, list] = {}
+        for b in batches:
+            x = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(features)], 1) - shift
+            m = np.isfinite(x)
+            x[~m] = 0.0
+            m, y = m.astype(float), x * x
+            for k in range(0, features, stripe):
+                c = slice(k, k + stripe)
+                new = [m[:, c].T @ m, x[:, c].T @ m, m[:, c].T @ x, y[:, c].T @ m, m[:, c].T @ y, x[:, c].T @ x]
+                held[k] = [a + v for a, v in zip(held[k], new)] if k in held else new
+        for k, sums in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.stack(sums).tobytes()], pa.binary())], ["stripe", "sums"])
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x) for x in table["sums"].to_pylist())
+    return pa.table({"stripe": table["stripe"].slice(0, 1).cast(pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def pairwise_correlations(df: DataFrame, features: list[str], stripe: int = 128) -> np.ndarray:
+    """Pearson correlation of each pair of features, over the rows where both are finite; 0 where there is none. One pass over the rows; the matrix has one number for each pair of columns."""
+    means = [m or 0.0 for m in one_row(df, [F.avg(finite(col(f))) for f in features])]
+    rows = df.select(*(finite(col(f)).alias(f"x{i}") for i, f in enumerate(features)))
+    sums = rows.mapInArrow(_co_moments(len(features), means, stripe), "stripe int, sums binary").groupBy("stripe").applyInArrow(_added, "stripe int, sums binary")
+    out = np.zeros((len(features), len(features)))
+    for k, packed in sums.collect():  # six numbers for each pair of columns
+        n, sx, sy, xx, yy, xy = np.frombuffer(packed).reshape(6, -1, len(features))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            vx, vy = xx - sx * sx / n, yy - sy * sy / n
+            ok = (n > 1) & (vx > 1e-12 * xx) & (vy > 1e-12 * yy)
+            out[k : k + len(n)] = np.where(ok, (xy - sx * sy / n) / np.sqrt(np.where(ok, vx * vy, 1.0)), 0.0)
+    return out
 
+
+def correlated_features(df: DataFrame, features: list[str], most: float = 0.9) -> set[str]:
+    """Of each pair correlated beyond `most`, the feature that is more correlated with all."""
     if len(features) < 2:
         return set()
-    rows = df.select(*(finite(col(f)).alias(f"x{i}") for i, f in enumerate(features))).dropna()
-    vectors = VectorAssembler(inputCols=[f"x{i}" for i in range(len(features))], outputCol="v").transform(rows).select("v")
-    if vectors.limit(2).count() < 2:
-        return set()
-    r = np.abs(np.nan_to_num(Correlation.corr(vectors, "v").first()[0].toArray()))
+    r = np.abs(pairwise_correlations(df, features))
     total = r.sum(0)
     return {features[i if total[i] > total[j] else j] for i in range(len(features)) for j in range(i) if r[i, j] > most}
 
 
+def feature_choice(df: DataFrame, label: str = LABEL) -> DataFrame:
+    """feature: whether it varies enough, and whether it is kept by select_features."""
+    every = feature_columns(df, label)
+    varied = varied_features(df, every)
+    gone = correlated_features(df, varied)
+    return df.sparkSession.createDataFrame([(f, f in varied, f in varied and f not in gone) for f in every], "feature string, varied boolean, kept boolean")
+
+
 def select_features(df: DataFrame, label: str = LABEL, static_block_list: tuple = ()) -> DataFrame:
     """Without features that vary too little, are listed, or repeat others. `meta_` columns stay."""
     features = [f for f in varied_features(df, feature_columns(df, label)) if f not in static_block_list]
@@ -116,4 +159,7 @@ def fittable(df: DataFrame, features: list[str]) -> tuple[list[str], list[str]]:
     good = [f for f, n in zip(features, counts) if n]
     if not good:
         raise ValueError("No feature has a value")
-    return good, [f for f in features if f not in good]
+    empty = [f for f, n in zip(features, counts) if not n]
+    if empty:
+        log.warning("%d features without a value are left out: %s", len(empty), ", ".join(empty))
+    return good, empty

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import glob as globbing
 import os
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ WIDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType
 
 
 def read_table(spark: SparkSession, path: str, infer_rows: int | None = 100) -> DataFrame:
-    """A .csv (types inferred from its first rows, or from all where infer_rows is None) or a Parquet table."""
+    """A .csv or a Parquet table. A CSV's types are those of its first rows, or of all where infer_rows is None; a later value that doesn't fit raises when it is read, and is never lost."""
     kind = os.path.splitext(path.rstrip("/"))[1].lower()
     if kind in (".parquet", ".parq", ".pq"):
         df = spark.read.parquet(path)
@@ -32,27 +33,20 @@ def read_table(spark: SparkSession, path: str, infer_rows: int | None = 100) ->
     if not head:
         return spark.read.csv(path, header=True)
     names = next(csv.reader(head[:1]))
-    return spark.read.csv(path, header=True, schema=first_types(names, list(csv.reader(head[1:]))))
+    return spark.read.csv(path, header=True, schema=first_types(names, list(csv.reader(head[1:]))), mode="FAILFAST")
 
 
 def first_types(names: list[str], rows: list[list[str]]) -> T.StructType:
     """Each column's type from these rows: the narrowest of bigint, double, boolean and string that holds them all; string without a value."""
-    def fits(kind, value: str) -> bool:
-        try:
-            kind(value)
-            return True
-        except ValueError:
-            return False
-
     fields = []
     for i, name in enumerate(names):
         seen = [r[i] for r in rows if i < len(r) and r[i] != ""]
         kind: T.DataType = T.StringType()
         if seen and all(x.lower() in ("true", "false") for x in seen):
             kind = T.BooleanType()
-        elif seen and all(fits(int, x) for x in seen):
+        elif seen and all(re.fullmatch(r"[+-]?\d+", x) and -(2**63) <= int(x) < 2**63 for x in seen):
             kind = T.LongType()
-        elif seen and all(fits(float, x) for x in seen):
+        elif seen and all(re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|-?Inf|-?Infinity", x) for x in seen):
             kind = T.DoubleType()
         fields.append(T.StructField(name, kind))
     return T.StructType(fields)
