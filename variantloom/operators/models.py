@@ -19,6 +19,12 @@ SHARES = {"train": 0.8, "eval": 0.1, "test": 0.1}
 RESULTS = "key string, n_train long, n_eval long, n_test long, train_auroc double, eval_auroc double, test_auroc double, train_accuracy double, eval_accuracy double, test_accuracy double, model string, importance map<string,double>, error string"
 
 
+def model_features(df: DataFrame, blocked: DataFrame | set | None = None) -> list[str]:
+    """Measured columns that no feature block-list names: a table (feature, feature_ok) or names."""
+    bad = blocked if isinstance(blocked, set) else set() if blocked is None else {r[0] for r in blocked.where("NOT feature_ok").select("feature").collect()}
+    return [f for f in measured_columns(df) if f not in bad]
+
+
 def _matrix(pdf: pd.DataFrame, features: list[str]) -> np.ndarray:
     x = pdf[features].to_numpy(float, na_value=np.nan)
     x[~np.isfinite(x)] = np.nan
@@ -40,7 +46,7 @@ def _binary(features: list[str], params: Params):
                 prob = model.predict(x[s]) if len(x[s]) else np.zeros(0)
                 row |= {f"n_{s}": len(prob), f"{s}_auroc": auroc(y[s], prob), f"{s}_accuracy": float(((prob >= 0.5) == y[s]).mean()) if len(prob) else np.nan}
             row |= {"model": model.dump(), "importance": model.importance()}
-        except Exception as e:  # a group that can't be trained must not stop the others; its row says why
+        except (ValueError, ArithmeticError, np.linalg.LinAlgError) as e:  # data that can't be trained on must not stop the other groups; its row says why
             row |= {f"n_{s}": len(p) for s, p in part.items()} | {"error": f"{type(e).__name__}: {e}"}
         return pd.DataFrame([row]).reindex(columns=[c.split(" ")[0] for c in RESULTS.replace("map<string,double>", "map").split(", ")])
     return run
@@ -70,20 +76,21 @@ def variant_splits(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT"
     return stratified_split(prepare_variants(df, ids, label, wild_type, seed=seed, **prepare), label, SHARES, ids, seed)
 
 
-def one_vs_wild_type(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", params: Params = Params(), seed: int = 42, **prepare) -> DataFrame:
+def one_vs_wild_type(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", params: Params = Params(), blocked_features: DataFrame | set | None = None, seed: int = 42, **prepare) -> DataFrame:
     """key = variant: a model that tells the wild type from it. The wild-type cells (bounded by downsample_wt) are repeated for each variant."""
-    features = measured_columns(df)
+    features = model_features(df, blocked_features)
     rows = prepare_variants(df, ids, label, wild_type, seed=seed, **prepare)
     variants = rows.where(F.col(label) != wild_type).groupBy(F.col(label).alias("key")).count().select("key")
     wt = rows.where(F.col(label) == wild_type).withColumn("_one", F.lit(1))
-    every = variants.withColumn("_one", F.lit(1)).join(F.broadcast(wt) if prepare.get("downsample_wt", 5000) else wt, "_one").drop("_one")  # at most downsample_wt rows
+    bounded = isinstance(prepare.get("downsample_wt", 5000), int)  # a share of a large table is none
+    every = variants.withColumn("_one", F.lit(1)).join(F.broadcast(wt) if bounded else wt, "_one").drop("_one")  # at most downsample_wt rows
     both = rows.where(F.col(label) != wild_type).withColumn("key", F.col(label)).withColumn("positive", F.lit(0)).unionByName(every.withColumn("positive", F.lit(1)))
     return train_groups(both, features, ids, params, seed)
 
 
-def wild_type_pairs(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", min_cells: int = 100, max_barcodes: int | None = None, mode: str = "top", params: Params = Params(), seed: int = 42) -> DataFrame:
+def wild_type_pairs(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", min_cells: int = 100, max_barcodes: int | None = None, mode: str = "top", params: Params = Params(), blocked_features: DataFrame | set | None = None, seed: int = 42) -> DataFrame:
     """key = `a|b`: a model for each pair of wild-type barcodes (a is positive), with n_cells_a and n_cells_b. Fewer than two barcodes: no rows."""
-    features = measured_columns(df)
+    features = model_features(df, blocked_features)
     rows = drop_small_groups(df.where(F.col(label) == wild_type), BARCODE, min_cells)
     counts = rows.groupBy(BARCODE).agg(F.count("*").alias("n"))
     if max_barcodes is not None:
@@ -97,9 +104,9 @@ def wild_type_pairs(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT
 POOL = "__POOL__"
 
 
-def wild_type_vs_pool(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", classes: tuple = ("Synonymous",), min_cells: int = 100, downsample_pool: int | None = None, params: Params = Params(), seed: int = 42) -> DataFrame:
+def wild_type_vs_pool(df: DataFrame, ids, label: str = LABEL, wild_type: str = "WT", classes: tuple = ("Synonymous",), min_cells: int = 100, downsample_pool: int | None = None, params: Params = Params(), blocked_features: DataFrame | set | None = None, seed: int = 42) -> DataFrame:
     """key = wild-type barcode: a model that tells it from the pooled cells of variants of these classes."""
-    features = measured_columns(df)
+    features = model_features(df, blocked_features)
     pool = downsample(df.where((F.col(label) != wild_type) & classify_variant(F.col(label)).isin(list(classes))), F.lit(True), downsample_pool, ids, seed)
     if pool.isEmpty():
         raise ValueError(f"No cells of classes {', '.join(classes)}")
@@ -111,12 +118,12 @@ def wild_type_vs_pool(df: DataFrame, ids, label: str = LABEL, wild_type: str = "
     return train_groups(both, features, ids, params, seed)
 
 
-BATCH_RESULTS = "key string, batch string, n_test long, auroc double, p_value double, error string"
+BATCH_RESULTS = "key string, batch string, n_cells long, n_test long, auroc double, p_value double, model string, importance map<string,double>, error string"
 
 
-def batch_vs_batch(df: DataFrame, ids, label: str = LABEL, batch: str = BATCH, min_cells: int = 50, min_batches: int = 2, params: Params = Params(), seed: int = 42) -> DataFrame:
-    """(variant, batch): how well a softmax model of the variant's cells tells the batch from the others on held-out cells, and a one-sided rank test of its scores."""
-    features = measured_columns(df)
+def batch_vs_batch(df: DataFrame, ids, label: str = LABEL, batch: str = BATCH, min_cells: int = 50, min_batches: int = 2, params: Params = Params(), blocked_features: DataFrame | set | None = None, seed: int = 42) -> DataFrame:
+    """(variant, batch): how well a softmax model of the variant's cells tells the batch from the others on held-out cells, and a one-sided rank test of its scores; n_cells counts the variant's cells in the batch. A variant's model and importance stand in its first row."""
+    features = model_features(df, blocked_features)
     rows = stratified_split(df.where(F.col(label).isNotNull() & F.col(batch).isNotNull()).withColumn("_s", F.concat_ws("|", label, batch)), "_s", SHARES, ids, seed)
     fit = rows.groupBy(label).agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("split") == "train", F.col(batch))).alias("b")).where((F.col("n") >= min_cells) & (F.col("b") >= min_batches)).select(label)
     slim = rows.join(fit, label, "left_semi").select(F.col(label).alias("key"), F.col(batch).alias("batch"), "split", draw(seed, *([ids] if isinstance(ids, str) else ids)).alias("_draw"), *(col(f).cast("double").alias(f) for f in features))
@@ -132,30 +139,58 @@ def batch_vs_batch(df: DataFrame, ids, label: str = LABEL, batch: str = BATCH, m
             model = Booster(features, max(2, len(names)), params).fit(x["train"], y["train"], x["eval"], y["eval"])
             prob = model.predict(x["test"])
             prob = np.stack([1 - prob, prob], 1) if prob.ndim == 1 else prob
-            out = [{"key": key, "batch": b, "n_test": int((y["test"] == i).sum()), "auroc": auroc((y["test"] == i).astype(int), prob[:, i]), "p_value": mann_whitney_greater(prob[y["test"] == i, i], prob[y["test"] != i, i]), "error": None} for b, i in code.items()]
-        except Exception as e:  # as for the other families: the row says why
-            out = [{"key": key, "batch": None, "n_test": 0, "auroc": np.nan, "p_value": np.nan, "error": f"{type(e).__name__}: {e}"}]
-        return pd.DataFrame(out)
+            size = pdf["batch"].value_counts()
+            out = [{"key": key, "batch": b, "n_cells": int(size[b]), "model": model.dump() if i == 0 else None, "importance": model.importance() if i == 0 else None, "n_test": int((y["test"] == i).sum()), "auroc": auroc((y["test"] == i).astype(int), prob[:, i]), "p_value": mann_whitney_greater(prob[y["test"] == i, i], prob[y["test"] != i, i]), "error": None} for b, i in code.items()]
+        except (ValueError, ArithmeticError, np.linalg.LinAlgError) as e:  # as for the other families: the row says why
+            out = [{"key": key, "batch": None, "n_cells": len(pdf), "model": None, "importance": None, "n_test": 0, "auroc": np.nan, "p_value": np.nan, "error": f"{type(e).__name__}: {e}"}]
+        return pd.DataFrame(out)[[c.split(" ")[0] for c in BATCH_RESULTS.replace("map<string,double>", "map").split(", ")]]
 
     return slim.groupBy("key").applyInPandas(run, BATCH_RESULTS)
 
 
-def score_cells(df: DataFrame, models: DataFrame, label: str = LABEL) -> DataFrame:
-    """Every cell under every model (its probability of the wild type), one column for each variant, beside the `meta_` columns. A model reads its own features."""
-    held = {r["key"]: Booster.load(r["model"]) for r in models.where("model IS NOT NULL").select("key", "model").collect()}  # one small model for each variant
-    shared, names = df.sparkSession.sparkContext.broadcast(held), sorted(held)
+#: Bytes of models that are given to every task at once.
+MODEL_BYTES = 128 << 20
+
+
+def _parts(sizes: list[tuple[str, int]], most: int) -> list[list[str]]:
+    """Keys in order, in parts of at most so many bytes or one key."""
+    out, held = [], 0
+    for key, n in sizes:
+        if not out or held + n > most:
+            out.append([])
+            held = 0
+        out[-1].append(key)
+        held += n
+    return out
+
+
+def score_cells(df: DataFrame, models: DataFrame, label: str = LABEL, most_bytes: int = MODEL_BYTES) -> DataFrame:
+    """Every cell under every model (its probability of the wild type), one column for each variant, beside the `meta_` columns. A model reads its own features. Models are sized first, and given to the tasks in parts of at most `most_bytes`."""
+    known = models.where("model IS NOT NULL")
+    sizes = sorted((r[0], r[1]) for r in known.select("key", F.length("model")).collect())  # one number for each variant
     meta = [c for c in df.columns if c.startswith("meta_")]
-    features = sorted({f for m in held.values() for f in m.features})
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in meta), *(f"`{n}` double" for n in names)])
+    features, names = [c for c in measured_columns(df) if c not in meta], [k for k, _ in sizes]
+    place = {n: f"s{i}" for i, n in enumerate(names)}
+    rows = df.select(*map(col, meta), *(col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)))
+    at = {f: f"x{i}" for i, f in enumerate(features)}
+    for part in _parts(sizes, most_bytes):
+        held = {r["key"]: Booster.load(r["model"]) for r in known.where(F.col("key").isin(part)).select("key", "model").collect()}
+        missing = {f for m in held.values() for f in m.features} - set(features)
+        if missing:
+            raise ValueError(f"The cells lack features of the models: {', '.join(sorted(missing))}")
+        rows = _scored(rows, df.sparkSession.sparkContext.broadcast(held), part, place, at)
+    return rows.select(*map(col, meta), *(F.col(place[n]).alias(n) for n in names))
+
+
+def _scored(rows: DataFrame, shared, part: list[str], place: dict[str, str], at: dict[str, str]) -> DataFrame:
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), *(f"{place[n]} double" for n in part)])
 
     def run(frames):
         for pdf in frames:
-            out = pdf[meta].copy()
-            for n in names:
-                out[n] = shared.value[n].predict(_matrix(pdf, shared.value[n].features))
-            yield out
+            more = {place[n]: shared.value[n].predict(_matrix(pdf, [at[f] for f in shared.value[n].features])) for n in part}
+            yield pd.concat([pdf, pd.DataFrame(more, index=pdf.index)], axis=1)
 
-    return df.select(*map(col, meta), *(col(f).cast("double").alias(f) for f in features)).mapInPandas(run, schema)
+    return rows.mapInPandas(run, schema)
 
 
 def own_score(scores: DataFrame, label: str = LABEL) -> DataFrame:

@@ -115,7 +115,7 @@ def _added(table: pa.Table) -> pa.Table:
 
 
 def pairwise_correlations(df: DataFrame, features: list[str], stripe: int = 128) -> np.ndarray:
-    """Pearson correlation of each pair of features, over the rows where both are finite; 0 where there is none. One pass over the rows; the matrix has one number for each pair of columns."""
+    """Pearson correlation of each pair of features, over the rows where both are finite; 0 where there is none or one side is constant. One pass over the rows; the matrix has one number for each pair of columns."""
     means = [m or 0.0 for m in one_row(df, [F.avg(finite(col(f))) for f in features])]
     rows = df.select(*(finite(col(f)).alias(f"x{i}") for i, f in enumerate(features)))
     sums = rows.mapInArrow(_co_moments(len(features), means, stripe), "stripe int, sums binary").groupBy("stripe").applyInArrow(_added, "stripe int, sums binary")
@@ -124,7 +124,8 @@ def pairwise_correlations(df: DataFrame, features: list[str], stripe: int = 128)
         n, sx, sy, xx, yy, xy = np.frombuffer(packed).reshape(6, -1, len(features))
         with np.errstate(invalid="ignore", divide="ignore"):
             vx, vy = xx - sx * sx / n, yy - sy * sy / n
-            ok = (n > 1) & (vx > 1e-12 * xx) & (vy > 1e-12 * yy)
+            noise = 1e-9 * np.abs(means)  # what varies by less is constant but for rounding
+            ok = (n > 1) & (vx > np.maximum(1e-12 * xx, n * noise[k : k + len(n), None] ** 2)) & (vy > np.maximum(1e-12 * yy, n * noise**2))
             out[k : k + len(n)] = np.where(ok, (xy - sx * sy / n) / np.sqrt(np.where(ok, vx * vy, 1.0)), 0.0)
     return out
 

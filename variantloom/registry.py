@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.naming import BARCODE, BATCH, CONTROL, LABEL, add_control
+from .functions.special import ERFC
 from .functions.variant import classify_variant, untagged_synonymous
 from .functions.vectors import cosine_distance, impact_score, norm, query_dot
 from .operators import comparisons, models, qc, sampling, selection
@@ -126,7 +128,7 @@ def stratified_split(spark, sf_dir):
 
 
 def ovwt_splits(spark, sf_dir):
-    rows = models.variant_splits(cells(spark, sf_dir), IDS, min_cells=50, downsample_wt=2000)
+    rows = models.variant_splits(cells(spark, sf_dir), IDS, min_cells=50)
     return rows.groupBy(LABEL, "split").agg(F.count("*").alias("n"), F.round(F.sum("Cells_Price"), 2).alias("price"))
 
 
@@ -149,13 +151,22 @@ def halves_correlation(spark, sf_dir):
     return _rounded(selection.correlate_halves(*_halves(spark, sf_dir)))
 
 
+#: Replicates of the bootstrap, as many as the pipeline's default.
+SEEDS = tuple(range(10))
+
+
 def bootstrap_block_list(spark, sf_dir):
-    return _rounded(selection.bootstrap_block_list(selection.combine_block_lists([selection.correlate_halves(*_halves(spark, sf_dir, s)) for s in (5, 6, 7)])))
+    return _rounded(selection.bootstrap_block_list(selection.combine_block_lists([selection.correlate_halves(*_halves(spark, sf_dir, s)) for s in SEEDS])))
+
+
+def _batches(c: DataFrame) -> list[str]:
+    """Names of all batches: one for each input file."""
+    return sorted(r[0] for r in c.select(BATCH).distinct().collect())
 
 
 def _by_batch(spark, sf_dir):
     c = add_control(cells(spark, sf_dir))
-    return [aggregate(c.where(F.col(BATCH) == b).select(LABEL, CONTROL, *FEATURES), "mean") for b in ("b1995", "b1996", "b1997")]
+    return [aggregate(c.where(F.col(BATCH) == b).select(LABEL, CONTROL, *FEATURES), "mean") for b in _batches(c)]
 
 
 def cross_batch_median(spark, sf_dir):
@@ -165,7 +176,7 @@ def cross_batch_median(spark, sf_dir):
 def agreed_block_list(spark, sf_dir):
     rows = cells(spark, sf_dir).groupBy(BATCH).agg(*(F.avg(f).alias(f) for f in FEATURES))
     long = rows.unpivot([BATCH], FEATURES, "feature", "m").withColumn("feature_ok", F.col("m") > 0.045)
-    return _rounded(selection.agree_block_lists([long.where(F.col(BATCH) == b) for b in ("b1995", "b1996", "b1997")], 2))
+    return _rounded(selection.agree_block_lists([long.where(F.col(BATCH) == b) for b in _batches(rows)], 2))
 
 
 def batch_correct(spark, sf_dir):
@@ -229,6 +240,10 @@ def pca_variance(spark, sf_dir):
     return _rounded(pca(_vectors(spark, sf_dir), 10, "meta_id", [f"x{i}" for i in range(64)])[2])
 
 
+def feature_choice(spark, sf_dir):
+    return selection.feature_choice(_rounded(selection.join_feature_types([aggregate(controlled(spark, sf_dir), t) for t in ("mean", "median", "std", "MAD")]), 9))
+
+
 def select_features(spark, sf_dir):
     wide = selection.join_feature_types([aggregate(controlled(spark, sf_dir), t) for t in ("mean", "std", "KS")])
     return _rounded(selection.select_features(wide))
@@ -251,7 +266,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     mean_profile, qc_cells, qc_barcodes, qc_variants, variant_classes, metadata, normalizer, control_by_predicate,
     *(_profile(n) for n in ("mean", "median", "MAD", "std", "KS", "signedKS", "QQ", "AUROC")), *(_profile(n, 4) for n in ("KSnegLogP", "AUROCnegLogP")),
     selected_variants, random_barcodes, pseudo_variants, control_downsample, barcode_cap, min_cells, largest_other, without_blocked_barcodes, stratified_split, ovwt_splits, halves_correlation, bootstrap_block_list,
-    cross_batch_median, agreed_block_list, joined_feature_types, batch_centroids, batch_correct, anova_f, anova, tukey_q, tukey, barcode_block_list, impact_scores, vector_norms, query_dots, pca_variance, select_features,
+    cross_batch_median, agreed_block_list, joined_feature_types, batch_centroids, batch_correct, anova_f, anova, tukey_q, tukey, barcode_block_list, impact_scores, vector_norms, query_dots, pca_variance, feature_choice, select_features,
     one_vs_wild_type, wild_type_pairs, wild_type_vs_pool, batch_vs_batch, cell_scores)}
 
 
@@ -269,6 +284,18 @@ RANKS = f"""{WITH}, {LONG}, g AS (SELECT DISTINCT feature, meta_aa_changes AS la
  rc AS (SELECT DISTINCT c.feature, c.label, c.v, c_le, c_eq, n_g, r_le, r_eq, n_r FROM cum c JOIN (SELECT DISTINCT * FROM ref) r ON c.feature = r.feature AND c.v = r.v)"""
 KS = RANKS + ", ks AS (SELECT feature, label, greatest(max(c_le / n_g - r_le / n_r), 0) AS up, greatest(max((r_le - r_eq) / n_r - (c_le - c_eq) / n_g), 0) AS down, max(n_g)::DOUBLE * max(n_r) / (max(n_g) + max(n_r)) AS n_e FROM rc GROUP BY 1, 2)"
 U = RANKS + ", u AS (SELECT feature, label, sum(c_eq * (r_le - r_eq + 0.5::DOUBLE * r_eq)) / (max(n_g)::DOUBLE * max(n_r)) AS auroc FROM rc GROUP BY 1, 2)"
+TIES = RANKS + """, t AS (SELECT feature, sum(r_eq ** 3 - r_eq) AS t FROM (SELECT DISTINCT feature, v, r_eq FROM ref) GROUP BY 1),
+ u AS (SELECT rc.feature, label, max(n_g)::DOUBLE AS g, max(n_r)::DOUBLE AS r, sum(c_eq * (r_le - r_eq + 0.5::DOUBLE * r_eq)) AS u, any_value(t) + sum((c_eq + r_eq)::DOUBLE ** 3 - (c_eq + r_eq) - (r_eq::DOUBLE ** 3 - r_eq)) AS tie FROM rc JOIN t ON rc.feature = t.feature GROUP BY 1, 2),
+ z AS (SELECT feature, label, abs(u - g * r / 2) / sqrt(g * r / 12 * (g + r + 1 - tie / ((g + r) * (g + r - 1)))) / sqrt(2.0::DOUBLE) AS x FROM u), w AS (SELECT *, 1 / (1 + 0.5::DOUBLE * x) AS t FROM z)"""
+POLY = reduce(lambda rest, c: f"{c!r}::DOUBLE + t * ({rest})", reversed(ERFC[:-1]), f"{ERFC[-1]!r}::DOUBLE")
+#: Four statistics of four features, as rows (label, feature, v).
+WIDE = f"""{WITH}, {LONG}, mid AS (SELECT meta_aa_changes AS l, feature AS f, median(v) AS m FROM long WHERE meta_aa_changes <> 'WT' GROUP BY 1, 2),
+ stat AS (SELECT l, concat(f, '_', s) AS feature, round(v, 9) AS v FROM (SELECT l, f, unnest(['mean', 'median', 'std', 'MAD']) AS s, unnest([avg(v), any_value(m), stddev_samp(v), median(abs(v - m))]) AS v FROM long JOIN mid ON l = meta_aa_changes AND f = feature GROUP BY 1, 2)),
+ n AS (SELECT feature, v, count(*) AS n FROM stat GROUP BY 1, 2), rk AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v) AS k FROM n),
+ va AS (SELECT feature, coalesce(max(CASE WHEN k = 2 THEN n END), 0) / max(n) >= 0.05::DOUBLE AND count(*) / sum(n) >= 0.01::DOUBLE AS varied FROM rk GROUP BY 1),
+ sv AS (SELECT stat.* FROM stat JOIN va USING (feature) WHERE varied),
+ r AS (SELECT a.feature AS a, b.feature AS b, CASE WHEN stddev_pop(a.v) > 0 AND stddev_pop(b.v) > 0 THEN abs(corr(a.v, b.v)) ELSE 0 END AS r FROM sv a JOIN sv b ON a.l = b.l GROUP BY 1, 2), t AS (SELECT a, sum(r) AS t FROM r GROUP BY 1),
+ gone AS (SELECT DISTINCT r.a FROM r JOIN t x ON x.a = r.a JOIN t y ON y.a = r.b WHERE r.a <> r.b AND r.r > 0.9::DOUBLE AND x.t > y.t)"""
 DRAW = "md5(concat('{s}|', l_orderkey::VARCHAR, '|', l_linenumber::VARCHAR, '|', l_partkey::VARCHAR))"
 ORDER = "l_orderkey, l_linenumber, l_partkey"
 
@@ -304,6 +331,8 @@ ORACLES: dict[str, str] = {
     "profile_signedKS": f"{KS} SELECT label AS meta_aa_changes, {_pivot('CASE WHEN up >= down THEN up ELSE -down END', 'signedKS')} FROM ks GROUP BY 1",
     "profile_KSnegLogP": f"{KS}, p AS (SELECT feature, label, -2.0::DOUBLE * n_e * greatest(up, down) ** 2 AS m FROM ks), q AS (SELECT feature, label, greatest(0, -(log10(2.0::DOUBLE) + m / ln(10.0::DOUBLE) + log10(list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(m * (k * k - 1))))))) AS x FROM p) SELECT label AS meta_aa_changes, {_pivot('x', 'KSnegLogP', 4)} FROM q GROUP BY 1",
     "profile_AUROC": f"{U} SELECT label AS meta_aa_changes, {_pivot('auroc', 'AUROC')} FROM u GROUP BY 1",
+    "profile_AUROCnegLogP": f"{TIES} SELECT label AS meta_aa_changes, {_pivot(f'greatest(0, -(ln(t) - x * x + {POLY}) / ln(10.0::DOUBLE))', 'AUROCnegLogP', 4)} FROM w GROUP BY 1",
+    "feature_choice": f"{WIDE} SELECT feature, varied, varied AND feature NOT IN (SELECT a FROM gone) AS kept FROM va",
     "profile_QQ": f"{WITH}, {LONG}, o AS (SELECT meta_aa_changes, feature, quantile_cont(v, {[k / 99 for k in range(100)]}) AS x FROM long GROUP BY 1, 2), z AS (SELECT a.meta_aa_changes, a.feature, unnest(a.x) AS x, unnest(w.x) AS y FROM o a JOIN o w ON a.feature = w.feature AND w.meta_aa_changes = 'WT' WHERE a.meta_aa_changes <> 'WT'), r AS (SELECT meta_aa_changes, feature, corr(x, y) AS r FROM z GROUP BY 1, 2) SELECT meta_aa_changes, {_pivot('r', 'QQ')} FROM r GROUP BY 1",
     "selected_variants": f"{WITH}, n AS (SELECT meta_aa_changes, {CLASS} AS class, count(*) AS n FROM cells GROUP BY 1, 2) SELECT meta_aa_changes, n FROM n WHERE class <> 'Single Missense' UNION ALL (SELECT meta_aa_changes, n FROM n WHERE class = 'Single Missense' ORDER BY n DESC, meta_aa_changes LIMIT 2)",
     "random_barcodes": f"{WITH} SELECT meta_barcode FROM (SELECT DISTINCT meta_barcode FROM cells) ORDER BY md5(concat('7|', meta_barcode)), meta_barcode LIMIT 5",
@@ -313,9 +342,9 @@ ORACLES: dict[str, str] = {
     "min_cells": f"{WITH} SELECT meta_aa_changes, count(*) AS n FROM cells GROUP BY 1 HAVING count(*) >= 4700 OR meta_aa_changes = 'WT'",
     "stratified_split": f"{WITH}, p AS (SELECT *, (row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY meta_aa_changes) AS x FROM cells) SELECT meta_aa_changes, CASE WHEN x < 0.8::DOUBLE THEN 'train' WHEN x < 0.8::DOUBLE + 0.1::DOUBLE THEN 'eval' ELSE 'test' END AS split, count(*) AS n, round(sum(Cells_Price), 2) AS price FROM p GROUP BY 1, 2",
     "halves_correlation": f"{WITH}, r AS ({_r_sql(5)}) SELECT feature, round(r, 6) AS r, round(r * r, 6) AS r_squared FROM r",
-    "bootstrap_block_list": f"{WITH}, r AS ({' UNION ALL '.join(_r_sql(s) for s in (5, 6, 7))}) SELECT feature, round(median(r), 6) AS median_r, median(r) >= 0.5 AS feature_ok FROM r GROUP BY 1",
-    "cross_batch_median": f"{WITH}, m AS (SELECT meta_aa_changes, meta_batch, {_bc(f'avg({f}) AS {f}' for f in FEATURES)} FROM cells WHERE meta_batch IN ('b1995', 'b1996', 'b1997') AND meta_aa_changes <> 'WT' GROUP BY 1, 2) SELECT meta_aa_changes, {_each('round(median(@), 6)', 'mean')} FROM m GROUP BY 1",
-    "agreed_block_list": f"{WITH}, {LONG}, m AS (SELECT feature, meta_batch, avg(v) > 0.045 AS ok FROM long WHERE meta_batch IN ('b1995', 'b1996', 'b1997') GROUP BY 1, 2) SELECT feature, count(*) AS n_batches, count(*) FILTER (WHERE ok) AS n_ok, count(*) FILTER (WHERE ok) >= 2 AS feature_ok FROM m GROUP BY 1",
+    "bootstrap_block_list": f"{WITH}, r AS ({' UNION ALL '.join(_r_sql(s) for s in SEEDS)}) SELECT feature, round(median(r), 6) AS median_r, median(r) >= 0.5 AS feature_ok FROM r GROUP BY 1",
+    "cross_batch_median": f"{WITH}, m AS (SELECT meta_aa_changes, meta_batch, {_bc(f'avg({f}) AS {f}' for f in FEATURES)} FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY 1, 2) SELECT meta_aa_changes, {_each('round(median(@), 6)', 'mean')} FROM m GROUP BY 1",
+    "agreed_block_list": f"{WITH}, {LONG}, m AS (SELECT feature, meta_batch, avg(v) > 0.045 AS ok FROM long GROUP BY 1, 2) SELECT feature, count(*) AS n_batches, count(*) FILTER (WHERE ok) AS n_ok, count(*) FILTER (WHERE ok) >= 2 AS feature_ok FROM m GROUP BY 1",
     "batch_correct": f"{WITH}, s AS (SELECT meta_aa_changes, meta_batch, {_bc(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in FEATURES)} FROM cells GROUP BY 1, 2), t AS (SELECT * FROM s WHERE meta_aa_changes IN (SELECT meta_aa_changes FROM s GROUP BY 1 HAVING count(*) > 1)), c AS (SELECT meta_aa_changes, {_bc(f'avg(m_{f}) AS cm_{f}, avg(s_{f}) AS cs_{f}' for f in FEATURES)} FROM t GROUP BY 1), w AS (SELECT {_bc(f'cm_{f} AS wm_{f}, cs_{f} AS ws_{f}' for f in FEATURES)} FROM c WHERE meta_aa_changes = 'WT') SELECT meta_aa_changes, meta_batch, {_bc(f'round(avg((({f} - m_{f}) / s_{f} * cs_{f} + cm_{f} - cm_{f}) / cs_{f} * ws_{f} + wm_{f}), 4) AS {f}' for f in FEATURES)}, count(*) AS n FROM cells JOIN t USING (meta_aa_changes, meta_batch) JOIN c USING (meta_aa_changes), w GROUP BY 1, 2",
     "anova_f": f"{WITH}, {LONG}, s AS (SELECT feature, meta_batch, count(*) AS n, sum(v) AS s, sum(v * v) AS q FROM long WHERE {CLASS} = 'Synonymous' GROUP BY 1, 2), t AS (SELECT feature, sum(n) AS n, count(*) AS a, sum(s) AS s, sum(q) AS q, sum(q - s * s / n) AS w FROM s GROUP BY 1) SELECT feature, round(((q - s * s / n - w) / (a - 1)) / (w / (n - a)), 4) AS f_value, a - 1 AS df_between, (n - a)::BIGINT AS df_within FROM t WHERE n >= 2 AND a >= 2",
     "tukey_q": f"{WITH}, e AS (SELECT meta_aa_changes AS variant, meta_barcode AS barcode, count(*) AS n, avg(Cells_Quantity / 50) AS m, sum(Cells_Quantity / 50) AS s, sum((Cells_Quantity / 50) ** 2) AS q2 FROM cells GROUP BY 1, 2 HAVING count(*) >= 10), p AS (SELECT variant, sum(q2 - s * s / n) / (sum(n) - count(*)) AS mse, (sum(n) - count(*))::BIGINT AS df, count(*) AS k FROM e GROUP BY 1 HAVING count(*) >= 2) SELECT a.variant, a.barcode, b.barcode AS comparison_barcode, round(b.m - a.m, 6) AS mean_diff, round(abs(b.m - a.m) / sqrt(mse / 2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n)), 6) AS q, k, df FROM e a JOIN e b ON a.variant = b.variant AND a.barcode < b.barcode JOIN p ON p.variant = a.variant",
@@ -323,7 +352,7 @@ ORACLES: dict[str, str] = {
     "vector_norms": f"WITH {E} SELECT vec_id AS meta_id, round(sqrt({_sum('x@ * x@')}), 6) AS norm, round(1 - ({_sum('x@')}) / (sqrt({_sum('x@ * x@')}) * 8), 6) AS distance FROM e",
     "largest_other": f"{WITH}, p AS (SELECT *, row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=1)}, {ORDER}) AS k FROM cells), m AS (SELECT max(n) AS most FROM (SELECT count(*) AS n FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY meta_aa_changes)) SELECT meta_aa_changes, count(*) AS n, round(sum(Cells_Price), 2) AS price FROM p, m WHERE meta_aa_changes <> 'WT' OR k <= most GROUP BY 1",
     "without_blocked_barcodes": f"{WITH} SELECT meta_barcode, count(*) AS n FROM cells GROUP BY 1 HAVING count(*) % 3 <> 0",
-    "ovwt_splits": f"{WITH}, k AS (SELECT *, row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) AS k, count(*) OVER (PARTITION BY meta_aa_changes) AS size FROM cells), p AS (SELECT *, (row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY meta_aa_changes) AS x FROM k WHERE CASE WHEN meta_aa_changes = 'WT' THEN k <= 2000 ELSE size >= 50 END) SELECT meta_aa_changes, CASE WHEN x < 0.8::DOUBLE THEN 'train' WHEN x < 0.8::DOUBLE + 0.1::DOUBLE THEN 'eval' ELSE 'test' END AS split, count(*) AS n, round(sum(Cells_Price), 2) AS price FROM p GROUP BY 1, 2",
+    "ovwt_splits": f"{WITH}, k AS (SELECT *, row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) AS k, count(*) OVER (PARTITION BY meta_aa_changes) AS size FROM cells), p AS (SELECT *, (row_number() OVER (PARTITION BY meta_aa_changes ORDER BY {DRAW.format(s=42)}, {ORDER}) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY meta_aa_changes) AS x FROM k WHERE CASE WHEN meta_aa_changes = 'WT' THEN k <= 5000 ELSE size >= 50 END) SELECT meta_aa_changes, CASE WHEN x < 0.8::DOUBLE THEN 'train' WHEN x < 0.8::DOUBLE + 0.1::DOUBLE THEN 'eval' ELSE 'test' END AS split, count(*) AS n, round(sum(Cells_Price), 2) AS price FROM p GROUP BY 1, 2",
     "joined_feature_types": f"{WITH} SELECT meta_aa_changes, {_each('round(avg(@), 6)', 'mean')}, {_each('round(stddev_samp(@), 6)', 'std')} FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY 1",
     "batch_centroids": f"{WITH}, s AS (SELECT meta_aa_changes, meta_batch, {_bc(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in FEATURES)} FROM cells GROUP BY 1, 2) SELECT meta_aa_changes, {_each('round(avg(m_@), 6)', 'mean')}, {_each('round(avg(s_@), 6)', 'std')} FROM s GROUP BY 1 HAVING count(*) > 1",
     "query_dots": f"WITH {E} SELECT vec_id AS meta_id, round({' + '.join(f'x{i} * {i % 3 - 1}' for i in range(64))}, 6) + 0.0::DOUBLE AS dot FROM e",
