@@ -151,6 +151,39 @@ def test_selection(spark):
     assert "c" in kept and "d" not in kept and len({"a", "b"} & set(kept)) == 1
 
 
+def test_nulls_elsewhere_hide_no_correlation(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"v{i}", float(x), float(2 * x + 1e-4 * y), float(y) if i % 3 else None, None if i % 3 else float(z), float(w) if i % 3 == 1 else None) for i, (x, y, z, w) in enumerate(rng.normal(size=(60, 4)))]
+    df = spark.createDataFrame(rows, f"{LABEL} string, a double, b double, c double, d double, e double")
+    kept = selection.select_features(df).columns
+    assert len({"a", "b"} & set(kept)) == 1 and {"c", "d", "e"} <= set(kept)
+    r = selection.pairwise_correlations(df, ["a", "b", "c", "d"], stripe=3)
+    x, y = (np.array([q[i] for q in rows if q[1] is not None and q[3] is not None], float) for i in (1, 3))
+    assert r[0, 2] == pytest.approx(np.corrcoef(x, y)[0, 1]) and r[2, 0] == pytest.approx(r[0, 2]) and r[2, 3] == 0
+
+
+def test_another_statistic_can_be_added(spark):
+    from variantloom.operators.aggregate import _wide, register
+
+    register("most", lambda df, label, features: _wide(df, label, features, "most", F.max))
+    try:
+        assert values(aggregate(labelled(spark, {"A": [1.0, 3.0]}, [0.0]), "most"), "most") == {"A": 3.0}
+        with pytest.raises(ValueError):
+            register("most", lambda *_: None)
+    finally:
+        del AGGREGATORS["most"]
+
+
+def test_models_take_a_feature_block_list_and_scores_come_in_parts(spark):
+    df, block = cells(spark, 200), spark.createDataFrame([("Cells_B", False), ("Cells_A", True)], "feature string, feature_ok boolean")
+    held = models.one_vs_wild_type(df, "id", min_cells=50, params=boosting.Params(rounds=3), blocked_features=block)
+    assert {r.feature for r in models.importance_table(held).collect()} <= {"Cells_A"}
+    one, parts = (sorted(models.score_cells(df, held, most_bytes=n).select("meta_barcode", "A1A", "M2K").collect()) for n in (1 << 27, 1))
+    assert one == parts and len(one) == 600
+    got = models.batch_vs_batch(df, "id", params=boosting.Params(rounds=3), blocked_features={"Cells_B"}).collect()
+    assert sum(r.n_cells for r in got) == 600 and sum(r.model is not None for r in got) == 3
+
+
 def test_batch_correction_moves_to_the_wild_type(spark):
     df = cells(spark, 200).withColumn("Cells_A", F.col("Cells_A") + F.when(F.col("meta_batch") == "b1", 10.0).otherwise(0.0)).unionByName(spark.createDataFrame([(-1, "L1L", "x", "b0", 1.0, 1.0)], cells(spark, 1).schema))
     out = BatchCorrector.fit(df, ["Cells_A", "Cells_B"]).transform(df)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from variantloom import streaming
 from variantloom.functions.naming import BATCH, LABEL
-from variantloom.plans import config, pipeline
+from variantloom.plans import config, pipeline, stages
 from variantloom.sources import readers
 
 
@@ -92,3 +92,67 @@ def test_whole_pipeline(spark, tmp_path):
     assert "meta_impact_score" in spark.read.parquet(f"{out}/features/b1/profiles").columns
     w = spark.read.parquet(f"{out}/global/all/corrected").where(f"{LABEL} = 'WT'").groupBy(BATCH).agg(F.avg("Cells_AreaShape_Area").alias("m")).collect()
     assert abs(w[0].m - w[1].m) < 1e-9
+    ids = ["meta_source_file", "meta_source_file_idx"]
+    halves = spark.read.parquet(f"{out}/features/b1/half_index")
+    assert halves.groupBy(*ids, "seed").count().where("count <> 1").isEmpty() and {r[0] for r in halves.select("half").distinct().collect()} == {1, 2}
+    assert {r.seed for r in spark.read.parquet(f"{out}/features/b1/correlations").select("seed").distinct().collect()} == {0, 1}
+    for name in ("ovwt_importance", "wtvwt_importance"):
+        assert spark.read.parquet(f"{out}/models/b1/{name}").count() > 0
+    assert spark.read.parquet(f"{out}/global/all/corrector_stats").count() == 8 and spark.read.parquet(f"{out}/global/all/batch_vs_batch_importance").count() > 0
+    assert "batch b1: ok" in (tmp_path / "out/logs/b1.log").read_text() and "failed" in (tmp_path / "out/logs/bad.log").read_text()
+
+
+def test_a_channel_says_what_it_lacks(spark, tmp_path, monkeypatch):
+    specs = {}
+    for name, path in (("good", "raw.parquet"), ("bad", "nowhere.parquet")):
+        (tmp_path / f"{name}.yaml").write_text(yaml.safe_dump({"input_paths": [str(tmp_path / path)], "global_channel": "all", "run_ovwt": False, "run_wtvwt": False, "run_feature_selection": False}))
+        specs[name] = str(tmp_path / f"{name}.yaml")
+    raw(1).to_parquet(tmp_path / "raw.parquet")
+    monkeypatch.setattr(pipeline, "channel_stage", lambda *a: {})
+    state = pipeline.run(spark, specs, str(tmp_path / "out"), {"global_channels": ["all"]})
+    assert state["good"] == "ok" and state["bad"] != "ok" and state["channel all"] == "incomplete: without bad"
+
+
+def test_late_values_of_a_csv_are_never_lost(spark, tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_text("a,b\n" + "".join(f"{i},x\n" for i in range(200)) + "1.5,y\n2.5,z\n")
+    assert dict(readers.read_table(spark, str(path)).dtypes)["a"] == "bigint"
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_table(spark, str(path)).collect()
+    assert readers.read_table(spark, str(path), None).agg(F.sum("a")).first()[0] == pytest.approx(sum(range(200)) + 4)
+    path.write_text("a,b\n1_000,x\n")
+    assert [r.a for r in readers.read_table(spark, str(path)).collect()] == ["1_000"]
+
+
+def test_stages_one_by_one(spark, tmp_path):
+    raw(1).to_parquet(tmp_path / "b1.parquet")
+    (tmp_path / "b1.yaml").write_text(yaml.safe_dump({"input_paths": [str(tmp_path / "b1.parquet")]}))
+    at = lambda name: str(tmp_path / "o" / name)
+    go = lambda name, **o: stages.run_stage(spark, name, output_dir=str(tmp_path / "o"), **o)
+    go("input", batch_file=str(tmp_path / "b1.yaml"), table="raw")
+    assert set(go("qcfilter", input_file=at("raw"), barcode_count_threshold=5, variant_barcode_count_threshold=2)) == {"cells", "barcode_counts", "variants_per_barcode"}
+    go("normalize", input_file=at("cells"))
+    go("generatesplit", input_file=at("normalized"), random_state=3)
+    n = spark.read.parquet(at("normalized")).count()
+    assert spark.read.parquet(at("half1")).count() + spark.read.parquet(at("half2")).count() == n
+    for h in (1, 2):
+        stages.run_stage(spark, "aggregatefeaturetype", output_root=at(f"h{h}"), aggregator="mean", input_file=at("normalized"), index_file=at(f"half{h}"))
+    go("correlatefeatures", half1_file=at("h1.features"), half2_file=at("h2.features"))
+    assert go("blocklist", input_files=[at("correlations")])["block_list"].count() == 3
+    got = go("aggregate", aggregator="KS", input_file=at("normalized"))["aggregated"]
+    assert {"meta_impact_score", "meta_num_cells", "Cells_Intensity_Mean_KS"} <= set(got.columns)
+    found = go("ovwt", input_file=at("normalized"), min_cells=20, downsample_wt=100)
+    assert {"origin_file", "row_idx"} <= set(found["splits"].columns) and found["importance"].count() > 0
+    scored = go("ovwtcellscores", input_file=at("normalized"), models_file=at("models"))["cell_scores"]
+    assert scored.count() == n
+    index = found["splits"].where("split = 'test'").withColumn("origin_file", F.lit(at("normalized"))).limit(5)
+    index.select("origin_file", "row_idx").coalesce(1).write.parquet(at("index"))
+    assert readers.load_split(spark, at("index")).count() == 5
+    go("checkbarcodes", input_file=at("cell_scores"))
+    assert set(go("barcodeblocklist", input_file=at("tukey"))["block_list"].columns) == {"barcode", "p_adj", "barcode_ok"}
+    assert (tmp_path / "o" / "ovwt.log").exists()
+    with pytest.raises(ValueError):
+        go("nope")
+    with pytest.raises(ValueError):
+        go("anova", input_file=at("normalized"), typo=1)
+    assert len(stages.STAGES) == 22

@@ -21,7 +21,7 @@ WIDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType
 def read_table(spark: SparkSession, path: str, infer_rows: int | None = 100) -> DataFrame:
     """A .csv or a Parquet table. A CSV's types are those of its first rows, or of all where infer_rows is None; a later value that doesn't fit raises when it is read, and is never lost."""
     kind = os.path.splitext(path.rstrip("/"))[1].lower()
-    if kind in (".parquet", ".parq", ".pq"):
+    if kind in (".parquet", ".parq", ".pq", "") or (kind != ".csv" and os.path.isdir(path)):  # a written table is a folder
         df = spark.read.parquet(path)
         # unsigned 64-bit integers come as decimals
         return df.select(*(col(f.name).cast("bigint").alias(f.name) if isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0 else col(f.name) for f in df.schema))
@@ -129,3 +129,17 @@ def project_cells(df: DataFrame) -> DataFrame:
 def by_index(df: DataFrame, index: DataFrame | None, on: list[str] | str) -> DataFrame:
     """Rows named by an index table; all rows without one."""
     return df if index is None else df.join(index.select(on).distinct(), on, "left_semi")
+
+
+def load_split(spark: SparkSession, pattern: str) -> DataFrame:
+    """Rows that a split index (row_idx, origin_file) names, read from the files that it names; any other table as load_batches reads it."""
+    paths = sorted(globbing.glob(pattern))
+    index = read_table(spark, paths[0]) if len(paths) == 1 else None
+    if index is None or not {"row_idx", "origin_file"} <= set(index.columns):
+        return load_batches(spark, pattern)[0]
+    frames = []
+    for origin in sorted(r[0] for r in index.select("origin_file").distinct().collect()):  # one name for each file
+        rows = tagged(spark, origin, file_name="_file", row_name="row_idx").drop("_file")
+        own = by_index(rows, index.where(F.col("origin_file") == origin), "row_idx").drop("row_idx")
+        frames.append(own.withColumn(BATCH, F.lit(os.path.splitext(os.path.basename(origin.rstrip("/")))[0])) if BATCH not in own.columns else own)
+    return reduce(DataFrame.unionByName, frames)
