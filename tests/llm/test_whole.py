@@ -173,3 +173,70 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         common.shared_dir(Session())
+
+
+def test_iban_keeps_country_check_digits_and_spacing():
+    text, found = pii.replace("pay DE89 3704 0044 0532 0130 00 or DE89370400440532013000, or GB82 WEST 1234 5698 7654 32")
+    one, two, other = (s for _, _, s in found)
+    assert [k for k, _, _ in found] == ["iban"] * 3 and one.replace(" ", "") == two and [len(x) for x in one.split()] == [4, 4, 4, 4, 4, 2]
+    for iban, country in ((two, "DE"), (other.replace(" ", ""), "GB")):
+        assert iban[:2] == country and int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert "3704" not in text and "WEST" not in text
+
+
+def test_phones_keep_their_country_code():
+    for phone, code in (("+34 612 345 678", "+34 "), ("+49 30 1234567", "+49 "), ("+351 912 345 678", "+351 "), ("+1 974-555-3436", "+1 ")):
+        new = pii.surrogate("phone", phone)
+        assert new.startswith(code) and new != phone and [c.isdigit() for c in new] == [c.isdigit() for c in phone]
+    assert pii.surrogate("phone", "+1 974-555-3436")[3:] == pii.surrogate("phone", "974-555-3436")
+
+
+def test_no_part_of_a_domain_is_left():
+    new = pii.surrogate("email", "jane@mail.smithfamily.org")
+    assert "smithfamily" not in new and "mail" not in new and new.endswith(".org")
+    assert pii.surrogate("email", "bob@mail.smithfamily.org").split("@")[1] == new.split("@")[1]
+    assert pii.surrogate("email", "x@shop.firm.co.uk").endswith(".co.uk") and pii.surrogate("email", "x@a.example.com").endswith(".example.com")
+
+
+@pytest.mark.parametrize("text, name", [("Mr. Łukasz Żółw came", "Łukasz Żółw"), ("Mr. 王伟 came", "王伟"), ("Dr. Ελένη Παππά", "Ελένη Παππά"), ("My name is Zora Neale", "Zora Neale"), ("we met Laura Quist there", "Laura Quist"), ("Dear Oyelaran, hello", "Oyelaran"), ("меня зовут Зоя", "Зоя")])
+def test_names_of_any_script(text, name):
+    new, found = pii.replace(text)
+    assert [(k, e) for k, e, _ in found] == [("name", name)] and not set(name.split()) & set(new.replace(",", "").split())
+    for a, b in zip(name.replace(" ", ""), found[0][2].replace(" ", "")):
+        assert a.isupper() == b.isupper() and pii.unicodedata.name(a).split()[0] == pii.unicodedata.name(b).split()[0]
+
+
+def test_every_kind_is_one_to_one_and_keeps_its_format(spark):
+    """Generated entities of every kind, each written in several ways: by brute force, entities and surrogates match one to one, and a second look finds the same kinds."""
+    rng = np.random.default_rng(11)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    word = lambda n: "".join(rng.choice(list("abcdefghiklmnoprstuvwz"), n))
+    texts, kinds = [], []
+    for _ in range(150):
+        p, c, s, w, d = digits(9), digits(16), digits(9), word(6), word(5)
+        iban = "DE" + digits(20)
+        forms = {"phone": [f"+34 {p[:3]} {p[3:6]} {p[6:]}", f"+34-{p[:3]}-{p[3:6]}-{p[6:]}"], "card": [c, f"{c[:4]} {c[4:8]} {c[8:12]} {c[12:]}"], "ssn": [f"{s[:3]}-{s[3:5]}-{s[5:]}"], "iban": [iban, " ".join(iban[i : i + 4] for i in range(0, 22, 4)).strip()],
+                 "email": [f"{w}@{d}.net", f"{w.upper()}@{d}.NET"], "ip": [".".join(map(str, rng.integers(0, 256, 4)))], "secret": [f"password={w}{p}"], "name": [f"Mrs. {w.capitalize()} {d.capitalize()}"]}
+        for kind, ways in forms.items():
+            for way in ways:
+                texts.append(f"see {way} here")
+                kinds.append(kind)
+    seen = collections.defaultdict(set)
+    for text, kind in zip(texts, kinds):
+        new, found = pii.replace(text)
+        assert [k for k, _, _ in found] == [kind], text
+        (_, entity, surrogate), = found
+        seen[kind].add((pii.canonical(kind, entity), pii.canonical(kind, surrogate)))
+        assert len(surrogate) == len(entity) or kind == "ip"
+        assert entity not in new
+    for kind, pairs in seen.items():
+        assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs), kind
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    assert pii.surrogates(docs).count() == len(texts) and pii.collisions(docs).count() == 0
+    other = pii.surrogates(docs, b"another key", check=False).select("text").collect()
+    assert sum(a == b for a, b in zip((r.text for r in other), texts)) == 0
+
+
+def test_the_check_tells_collisions(spark):
+    rows = spark.createDataFrame([([("name", 1, "A", 7), ("name", 2, "A", 7)],), ([("ip", 3, "x", 8), ("ip", 3, "y", 9), ("ip", 4, "z", 10)],)], f"entities {pii.ENTITY}")
+    assert {tuple(r) for r in pii.compare(rows).collect()} == {("distinctness", "name", 7), ("coreference", "ip", 3)}

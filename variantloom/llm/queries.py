@@ -56,7 +56,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(table(spark, sf_dir, "documents"))
+    key = spark.conf.get("spark.variantloom.surrogate.key", None)
+    return pii.surrogates(table(spark, sf_dir, "documents"), key.encode() if key else pii.KEY)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
