@@ -56,7 +56,16 @@ PATTERNS = [
 _ONE = r"(?:\p{Lu}[\p{L}\p{M}'’-]+|[\p{Lo}\p{M}]{2,4}(?!\p{Lo}))"
 _GIVEN = "|".join(sorted((n.capitalize() for names in NAMES.values() for n in names), key=len, reverse=True))
 #: A name follows a form of address or a cue, or is a listed given name with another capitalised word.
-NAME = regex.compile(rf"(?:\b(?i:{'|'.join(map(re.escape, TITLES))})\b\.? |(?<!\w)(?i:{'|'.join(map(re.escape, CUES))}) ?)(?P<x>{_ONE}(?: \p{{Lu}}[\p{{L}}\p{{M}}'’-]+){{0,2}})|(?<![\w'’-])(?P<x>(?:{_GIVEN}) \p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}'’-]*)")
+NAME = regex.compile(rf"(?:\b(?i:{'|'.join(map(re.escape, TITLES))})\b\.? |(?<!\w)(?i:{'|'.join(map(re.escape, CUES))})(?: |(?<=[:,\p{{Lo}}])))(?P<x>{_ONE}(?: \p{{Lu}}[\p{{L}}\p{{M}}'’-]+){{0,2}})|(?<![\w'’-])(?P<x>(?:{_GIVEN}) \p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}'’-]*)")
+
+
+#: Words without one of which a text holds no name that NAME would find.
+_HINTS = {w for phrase in (*TITLES, *CUES, *(n for names in NAMES.values() for n in names)) for w in re.split(r"\W+", phrase)[:1]}
+_CJK = {c[0] for c in CUES if unicodedata.category(c[0]) == "Lo"}
+
+
+def _may_name(text: str) -> bool:
+    return not _HINTS.isdisjoint(re.split(r"\W+", text.lower())) or any(c in text for c in _CJK)
 
 
 @lru_cache(1)
@@ -246,7 +255,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 if all(b <= s or a >= e for s, e, _ in spans):
                     spans.append((a, b, kind))
     parts: set[str] = set()
-    for m in NAME.finditer(text):
+    for m in NAME.finditer(text) if _may_name(text) else ():
         a, b = m.span("x")
         b -= 2 * text[a:b].endswith(("'s", "’s"))
         if all(b <= s or a >= e for s, e, _ in spans):
