@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_llm import documents
 from tests.llm.test_whole import brute_components
-from variantloom.llm import quality, setjoin
+from variantloom.llm import packing, quality, setjoin
+from variantloom.llm.queries import tokenizer
 
 
 def plain_vector(text):
@@ -97,3 +98,11 @@ def test_large_families_in_pieces(spark, kind, shingles, k, percent):
     want = brute_components(rows, k, percent)
     assert len(got) == len(rows) and {(r.doc_id, r.n_shingles, r.component_id) for r in got} == want
     assert kind != "chain" or {c for _, _, c in want} == {0, len(rows) - 1}  # all but one text are one component
+
+
+def test_shards_are_dealt_evenly(spark):
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" ")), 30).alias("text"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    pieces = packing.pack(docs, tokenizer("byte_bpe_50k.json"), shard_bytes=-(-total // 4))
+    per = {r.task: r.shards for r in pieces.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct(F.shiftright("sequence_id", 32)).alias("shards")).collect()}
+    assert sorted(per.values()) == [1, 1, 1, 1]  # four shards over four partitions

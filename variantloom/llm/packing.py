@@ -131,7 +131,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW,
     total = C.text_bytes(docs)
     shards = max(1, math.ceil(total / shard_bytes))
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, end_id, window, shards), "shard int, doc_id long, start long, length long, doc_tokens long, packed binary")
-    return pieces.repartition(C.parts(docs.sparkSession, total, 64 << 20), "shard").groupBy("shard").applyInArrow(C.lean(_pack(window)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    # dealt by the shard's number itself: a hash of few shards puts several into one task
+    return pieces.repartitionById(C.parts(docs.sparkSession, total, 64 << 20), F.col("shard")).groupBy("shard").applyInArrow(C.lean(_pack(window)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def digest(pieces: DataFrame) -> DataFrame:
