@@ -1,7 +1,9 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from variantloom.functions.naming import CONTROL, LABEL
@@ -112,6 +114,19 @@ def cells(spark, n=400):
     return spark.createDataFrame(rows, f"id long, {LABEL} string, meta_barcode string, meta_batch string, Cells_A double, Cells_B double")
 
 
+def test_places_in_parts_are_those_of_one_window(spark):
+    rows = [("WT", i % 3, i) for i in range(900)] + [(None, 0, i) for i in range(40)] + [("A1B", None, 1), ("A1B", None, 1), ("A1B", None, None), ("Z", 2, 7)]
+    df = spark.createDataFrame(rows, "g string, `h.1` int, id int").repartition(5)
+    own = sampling.draw(3, "id")
+    for by in ("g", ["g", "h.1"]):
+        got = sampling.placed(df, by, own, "id")
+        assert got.columns == df.columns + ["_place", "_size"]
+        of = W.partitionBy(*("`h.1`" if b == "h.1" else b for b in ([by] if isinstance(by, str) else by)))
+        want = df.withColumns({"_place": F.row_number().over(of.orderBy(own, "id")), "_size": F.count("*").over(of)})
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    assert sampling.placed(df.limit(0), "g", own, "id").count() == 0
+
+
 def test_sampling(spark):
     df = cells(spark, 100)
     a = {r.id for r in sampling.pseudo_variants(df, 0.25, ["Synonymous"], "id", 1).collect()}

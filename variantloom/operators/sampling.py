@@ -18,6 +18,20 @@ def _ids(ids) -> list[str]:
     return [ids] if isinstance(ids, str) else list(ids)
 
 
+def placed(df: DataFrame, by: str | list[str], own: Column, ids, place: str = "_place", size: str = "_size") -> DataFrame:
+    """Each row's place in its group by draw and ids, and the group's size (null is a group of its own).
+
+    A group may hold a third of all rows, so rows are numbered within parts of a group by the first digits of their draw; a
+    part's place is the number of rows in the parts before it, of which a group has at most 4096."""
+    keys, by = _ids(ids), _ids(by)
+    group, part = F.struct(*(col(b).alias(f"g{i}") for i, b in enumerate(by))), F.substring(own, 1, 3)
+    sizes = df.select(group.alias("_g"), part.alias("_p")).groupBy("_g", "_p").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_g", "_p", (F.sum("_n").over(W.partitionBy("_g").orderBy("_p")) - F.col("_n")).alias("_before"), F.sum("_n").over(W.partitionBy("_g")).alias(size))
+    rows = df.withColumns({"_g": group, "_p": part})
+    rows = rows.withColumn("_in", F.row_number().over(W.partitionBy("_g", "_p").orderBy(own, *map(col, keys))))
+    return rows.join(sizes, ["_g", "_p"]).withColumn(place, F.col("_before") + F.col("_in")).select(*map(col, df.columns), place, size)
+
+
 def top_groups(counts: DataFrame, key: str, n: int, mode: str = "top", seed: int = 0, size: str = "n") -> DataFrame:
     """n keys: the largest (ties by key) or at random."""
     if mode not in ("top", "random"):
@@ -39,8 +53,7 @@ def cap_groups(df: DataFrame, by: str, most: int | None, ids, seed: int = 0) ->
     """At most so many rows of each group."""
     if most is None:
         return df
-    place = F.row_number().over(W.partitionBy(by).orderBy(draw(seed, *_ids(ids)), *_ids(ids)))
-    return df.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+    return placed(df, by, draw(seed, *_ids(ids)), ids).where(F.col("_place") <= most).drop("_place", "_size")
 
 
 def pseudo_variants(df: DataFrame, amount: float | int, classes: list[str], ids, seed: int = 0, label: str = LABEL) -> DataFrame:
@@ -49,9 +62,7 @@ def pseudo_variants(df: DataFrame, amount: float | int, classes: list[str], ids,
     share = isinstance(amount, float)
     if isinstance(amount, bool) or (share and not 0 < amount <= 1) or (not share and amount < 1):
         raise ValueError(f"Bad amount: {amount!r}; use a fraction in (0, 1] or a positive whole number")
-    of = W.partitionBy(label)
-    rows = df.where(classify_variant(F.col(label)).isin(classes)).withColumns({
-        "_size": F.count("*").over(of), "_place": F.row_number().over(of.orderBy(draw(seed, *_ids(ids)), *_ids(ids)))})
+    rows = placed(df.where(classify_variant(F.col(label)).isin(classes)), label, draw(seed, *_ids(ids)), ids)
     rows = rows.where(F.col("_place") <= F.floor(F.col("_size") * amount)) if share else rows.where((F.col("_size") >= amount) & (F.col("_place") <= amount))
     return rows.withColumn(label, F.concat(label, F.lit(f":downsample-{amount}"))).drop("_size", "_place")
 
@@ -90,23 +101,22 @@ def drop_small_groups(df: DataFrame, by: str, least: int, exempt: str | None = N
 
 def stratified_split(df: DataFrame, by: str, shares: dict[str, float], ids, seed: int = 0, name: str = "split") -> DataFrame:
     """Each row's part: every stratum is dealt by these shares, up to rounding."""
-    keys, of = _ids(ids), W.partitionBy(by)
-    at = (F.row_number().over(of.orderBy(draw(seed, *keys), *keys)) - 0.5) / F.count("*").over(of)
+    at = (F.col("_place") - 0.5) / F.col("_size")
     edge, expr = 0.0, None
     for part, share in list(shares.items())[:-1]:
         edge += share
         expr = F.when(F.col("_at") < edge, part) if expr is None else expr.when(F.col("_at") < edge, part)
     last = list(shares)[-1]
-    return df.withColumn("_at", at).withColumn(name, F.lit(last) if expr is None else expr.otherwise(last)).drop("_at")
+    return placed(df, by, draw(seed, *_ids(ids)), ids).withColumn("_at", at).withColumn(name, F.lit(last) if expr is None else expr.otherwise(last)).drop("_at", "_place", "_size")
 
 
 def replicate_halves(df: DataFrame, seeds: list[int], ids, label: str = LABEL) -> DataFrame:
     """Every row once for each seed, with its half (1 or 2) of each label: all bootstrap replicates in one table."""
     keys = _ids(ids)
     rows = df.withColumn("seed", F.explode(F.array(*map(F.lit, seeds))))
-    of = W.partitionBy("seed", label)
     own = F.md5(F.concat_ws("|", F.col("seed").cast("string"), *(F.coalesce(col(k).cast("string"), F.lit("")) for k in keys)).cast("binary"))
-    return rows.withColumn("half", F.when((F.row_number().over(of.orderBy(own, *keys)) - 0.5) / F.count("*").over(of) < 0.5, 1).otherwise(2))
+    half = F.when((F.col("_place") - 0.5) / F.col("_size") < 0.5, 1).otherwise(2)
+    return placed(rows, ["seed", label], own, keys).withColumn("half", half).drop("_place", "_size")
 
 
 def exclude_barcodes(df: DataFrame, blocked: DataFrame, barcode: str = BARCODE) -> DataFrame:
