@@ -251,6 +251,16 @@ def test_encoders_against_the_library():
                 assert ids[at[i] : at[i + 1]].tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_encoder_remembers_no_more_ids_than_it_may():
+    texts = [f"¿{'word ' * 200}{i}" for i in range(60)]  # each is one piece, for its first mark
+    e = tokens.Encoder(tokenizer("byte_bpe_50k.json"), False, most_ids=1000)
+    for i in range(0, 60, 3):
+        ids, at = e.encode(pa.array(texts[i : i + 3]))
+        for k in range(3):
+            assert ids[at[k] : at[k + 1]].tolist() == e.tokenizer.encode(texts[i + k], add_special_tokens=False).ids
+        assert len(e.flat) <= 1000 + at[-1]
+
+
 def plain_ids(name, text):
     e = tokens.encoder(tokenizer(name), name.startswith("word"))
     return e.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]

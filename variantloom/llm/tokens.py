@@ -30,15 +30,16 @@ BATCH = 10_000
 
 
 class Encoder:
-    """path: a tokenizers file. drops_space: white space gives no tokens and case doesn't matter; else the space before a word belongs to it."""
+    """path: a tokenizers file. drops_space: white space gives no tokens and case doesn't matter; else the space before a word belongs to it.
+    Beyond `most` pieces or `most_ids` ids all are forgotten: pieces may be whole texts, so a number of pieces alone bounds nothing."""
 
-    def __init__(self, path: str, drops_space: bool, most: int = 500_000):
+    def __init__(self, path: str, drops_space: bool, most: int = 500_000, most_ids: int = 4_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.drops_space, self.most = drops_space, most
+        self.drops_space, self.most, self.most_ids = drops_space, most, most_ids
         self.forget()
 
     def forget(self) -> None:
@@ -101,7 +102,7 @@ class Encoder:
         if self.drops_space:
             data = C.LOWER[data]
         keys, place = C.factorize(C.hash_slices(data, starts, lengths))
-        if len(self.keys) > self.most:
+        if len(self.keys) > self.most or len(self.flat) > self.most_ids:
             self.forget()
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
