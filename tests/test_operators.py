@@ -257,3 +257,28 @@ def test_pca_against_svd(spark):
     assert loadings.count() == 8
     with pytest.raises(ValueError):
         pca(df.withColumn("a", F.when(F.col("a") > 0, F.col("a"))), 2)
+
+
+def test_packed_cells_split_and_train_like_plain_rows(spark, monkeypatch):
+    from variantloom.operators import packed
+    from variantloom.operators.sampling import stratified_split
+
+    df = cells(spark, 200).withColumn("Cells_A", F.when(F.col("id") % 7 != 0, F.col("Cells_A")))
+    rows = [r.asDict() for r in stratified_split(df.withColumn("_d", packed.draw_number(42, "id")), "meta_batch", models.SHARES, "id", 42).collect()]
+    whole = df.select(F.lit("k"), "meta_batch", packed.draw_number(42, "id"), "Cells_A", "Cells_B").toArrow().combine_chunks().to_batches(max_chunksize=70)
+    got = packed.Cells(packed.pack(2)(whole), 2)
+    rows.sort(key=lambda r: r["_d"])
+    assert [got.names[c] for c in got.code] == [r["meta_batch"] for r in rows]
+    assert [list(models.SHARES)[i] for i in packed.split_of(got.code, models.SHARES)] == [r["split"] for r in rows]
+    assert np.array_equal(got.column(0), np.array([r["Cells_A"] for r in rows], float), equal_nan=True)
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 9, (3000, 3)).astype(float), rng.integers(0, 3, 3000)
+    x[::11, 1] = np.nan
+    for classes in (2, 3):
+        plain = boosting.Booster(["a", "b", "c"], classes, boosting.Params(rounds=8)).fit(x, y % classes, x[:500], y[:500] % classes)
+        monkeypatch.setattr(boosting, "CHUNK", 256)
+        monkeypatch.setattr(packed, "HELD", 64)
+        assert boosting.alike(boosting._binned(x, [np.unique(x[np.isfinite(x[:, j]), j]) for j in range(3)], 64), 64) is not None
+        sets = boosting.Booster(["a", "b", "c"], classes, boosting.Params(rounds=8)).fit(x, y % classes, x[:500], y[:500] % classes)
+        monkeypatch.undo()
+        assert len(plain.trees) == len(sets.trees) and np.abs(plain.predict(x) - sets.predict(x)).max() < 1e-9
