@@ -282,3 +282,14 @@ def test_packed_cells_split_and_train_like_plain_rows(spark, monkeypatch):
         sets = boosting.Booster(["a", "b", "c"], classes, boosting.Params(rounds=8)).fit(x, y % classes, x[:500], y[:500] % classes)
         monkeypatch.undo()
         assert len(plain.trees) == len(sets.trees) and np.abs(plain.predict(x) - sets.predict(x)).max() < 1e-9
+
+
+def test_block_list_without_a_row_for_each_pair(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(v, b, float(x)) for v, names in (("A1A", [f"a{i}" for i in range(9)] + ["both", None]), ("M2K", ["m1", "m2", "both"]), ("L3L", ["c1", "c2"]), ("K4K", ["one", None]), (None, ["n1", "n2"])) for b in names for x in (rng.normal(rng.normal(), 1, rng.integers(8, 30)) if v != "L3L" else np.ones(12))]
+    scores = spark.createDataFrame(rows, f"{LABEL} string, meta_barcode string, score double")
+    want = {r.barcode: r for r in comparisons.barcode_block_list(comparisons.tukey(scores)).collect()}
+    monkeypatch.setattr(comparisons, "tukey_q", None)  # pairs aren't rows
+    got = {r.barcode: r for r in comparisons.score_block_list(scores).collect()}
+    assert got.keys() == want.keys() and got["c1"].p_adj is None and not got["c1"].barcode_ok
+    assert all(got[b].barcode_ok == r.barcode_ok and (r.p_adj is None or got[b].p_adj == pytest.approx(r.p_adj, abs=1e-12)) for b, r in want.items())

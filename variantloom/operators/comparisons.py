@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..functions.naming import BARCODE, BATCH, LABEL, col, feature_columns
 from ..functions.special import f_sf, studentized_range_sf_many
@@ -49,9 +53,13 @@ def anova(df: DataFrame, group: str = BATCH, features: list[str] | None = None)
     return anova_f(df, group, features).select("feature", "f_value", _f_sf("f_value", F.col("df_between").cast("double"), F.col("df_within").cast("double")).alias("p_value"))
 
 
+def _each_barcode(scores: DataFrame, variant: str, barcode: str, score: str, min_cells: int) -> DataFrame:
+    return scores.where(F.col(score).isNotNull()).groupBy(F.col(variant).alias("variant"), F.col(barcode).alias("barcode")).agg(F.count("*").alias("n"), F.avg(score).alias("mean"), F.sum(score).alias("s"), F.sum(F.col(score) * F.col(score)).alias("q2")).where(F.col("n") >= min_cells)
+
+
 def tukey_q(scores: DataFrame, variant: str = LABEL, barcode: str = BARCODE, score: str = "score", min_cells: int = 10) -> DataFrame:
     """One row for each pair of a variant's barcodes: means, their difference, q, and what its p-value needs. The self join is on the variant: a variant has at most a few dozen barcodes."""
-    each = scores.where(F.col(score).isNotNull()).groupBy(F.col(variant).alias("variant"), F.col(barcode).alias("barcode")).agg(F.count("*").alias("n"), F.avg(score).alias("mean"), F.sum(score).alias("s"), F.sum(F.col(score) * F.col(score)).alias("q2")).where(F.col("n") >= min_cells)
+    each = _each_barcode(scores, variant, barcode, score, min_cells)
     pool = each.groupBy("variant").agg(F.sum(F.col("q2") - F.col("s") * F.col("s") / F.col("n")).alias("within"), F.sum("n").alias("total"), F.count("*").alias("k")).where("k >= 2")
     pool = pool.withColumn("df", F.col("total") - F.col("k")).where("df >= 1").withColumn("mse", F.col("within") / F.col("df")).select("variant", "mse", "df", "k")
     a = each.select("variant", "barcode", F.col("mean").alias("group_mean"), F.col("n").alias("n_a"))
@@ -66,7 +74,53 @@ def tukey(scores: DataFrame, alpha: float = 0.05, **how) -> DataFrame:
     return rows.select("variant", "barcode", "group_mean", "comparison_barcode", "comparison_group_mean", "mean_diff", "p_adj", (F.col("p_adj") < alpha).alias("reject"))
 
 
+def _median_p(sides: DataFrame, least: float) -> DataFrame:
+    return sides.groupBy("barcode").agg(F.median("p_adj").alias("p_adj")).withColumn("barcode_ok", F.coalesce(F.col("p_adj") >= least, F.lit(False)))
+
+
 def barcode_block_list(tukey_rows: DataFrame, least: float = 0.05) -> DataFrame:
     """barcode: median p-value over all its comparisons, on either side, and whether that is enough."""
     sides = tukey_rows.select("barcode", "p_adj").unionByName(tukey_rows.select(F.col("comparison_barcode").alias("barcode"), "p_adj"))
-    return sides.groupBy("barcode").agg(F.median("p_adj").alias("p_adj")).withColumn("barcode_ok", F.coalesce(F.col("p_adj") >= least, F.lit(False)))
+    return _median_p(sides, least)
+
+
+#: Barcodes whose comparisons a task makes for one row, and comparisons that it holds at once.
+BLOCK, HELD = 1024, 1 << 20
+
+
+def _middle_p(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Barcodes of a block against all of their variant to the p-values that their median needs."""
+    for b in batches:
+        for row in range(b.num_rows):
+            block, within, df, k = (b.column(c)[row].as_py() for c in range(4))
+            names, mean, n, several = (b.column(c)[row].values for c in range(4, 8))
+            mean, n, several = mean.to_numpy(), n.to_numpy().astype(float), several.to_numpy(zero_copy_only=False)
+            mse, out, size = within / df, [], len(mean)
+            mine = np.arange(block * BLOCK, min(size, (block + 1) * BLOCK))
+            for at in np.array_split(mine, max(1, len(mine) * size // HELD)):
+                if not mse > 0:  # no p-value at all
+                    out += [[]] * len(at)
+                    continue
+                q = np.abs(mean - mean[at, None]) / np.sqrt(mse / 2 * (1 / n[at, None] + 1 / n))
+                q[np.arange(len(at)), at] = -1.0  # itself: before all others
+                low, high = 1 + (size - 2) // 2, 1 + (size - 1) // 2
+                p = studentized_range_sf_many(np.partition(q, (low, high), 1)[:, [low, high]].ravel(), k, df).reshape(-1, 2).tolist()
+                for i in np.flatnonzero(several[at]):  # the median is over other variants' p-values too
+                    p[i] = studentized_range_sf_many(np.delete(q[i], at[i]), k, df).tolist()
+                out += p
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(mine)), pa.array(out, pa.list_(pa.float64()))], ["barcode", "p"])
+
+
+def score_block_list(scores: DataFrame, least: float = 0.05, variant: str = LABEL, barcode: str = BARCODE, score: str = "score", min_cells: int = 10) -> DataFrame:
+    """barcode_block_list(tukey(scores)) without a row or a p-value for each pair.
+
+    Within a variant p falls as q grows, so a barcode's median p is that of its middle q; q is computed for all pairs in blocks of
+    BLOCK barcodes against their variant's means and sizes. Barcodes of several variants get all their p-values."""
+    each = _each_barcode(scores, variant, barcode, score, min_cells).where("variant IS NOT NULL")
+    sums = each.withColumn("several", F.count("*").over(W.partitionBy("barcode")) > 1).groupBy("variant").agg(
+        F.sum(F.col("q2") - F.col("s") * F.col("s") / F.col("n")).alias("within"), (F.sum("n") - F.count("*")).alias("df"), F.count("*").alias("k"),
+        F.array_sort(F.collect_list(F.when(F.col("barcode").isNotNull(), F.struct("barcode", "mean", "n", "several")))).alias("all"))
+    blocks = sums.where((F.col("k") >= 2) & (F.col("df") >= 1) & (F.size("all") >= 2)).withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(size(all) - 1) div {BLOCK}").cast("int"))))
+    rows = blocks.repartition("variant", "block").select("block", "within", F.col("df").cast("double"), F.col("k").cast("double"), "all.barcode", "all.mean", "all.n", "all.several")
+    schema = StructType([StructField("barcode", scores.schema[barcode].dataType), StructField("p", ArrayType(DoubleType()))])
+    return _median_p(rows.mapInArrow(_middle_p, schema).select("barcode", F.explode_outer("p").alias("p_adj")), least)

@@ -214,7 +214,7 @@ def tukey(spark, sf_dir):
 
 
 def barcode_block_list(spark, sf_dir):
-    return _rounded(comparisons.barcode_block_list(comparisons.tukey(_scores(spark, sf_dir))))
+    return _rounded(comparisons.score_block_list(_scores(spark, sf_dir)))
 
 
 def _vectors(spark, sf_dir):
