@@ -293,3 +293,15 @@ def test_block_list_without_a_row_for_each_pair(spark, monkeypatch):
     got = {r.barcode: r for r in comparisons.score_block_list(scores).collect()}
     assert got.keys() == want.keys() and got["c1"].p_adj is None and not got["c1"].barcode_ok
     assert all(got[b].barcode_ok == r.barcode_ok and (r.p_adj is None or got[b].p_adj == pytest.approx(r.p_adj, abs=1e-12)) for b, r in want.items())
+
+
+def test_selection_makes_its_table_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(f"v{i}", *map(float, x)) for i, x in enumerate(rng.normal(size=(30, 2)))], f"{LABEL} string, a double, b double")
+    assert selection.select_features(df.withColumn("a", F.udf(seen, "double")("a"))).count() == 30 and made.value == 30

@@ -148,7 +148,8 @@ def feature_choice(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def select_features(df: DataFrame, label: str = LABEL, static_block_list: tuple = ()) -> DataFrame:
-    """Without features that vary too little, are listed, or repeat others. `meta_` columns stay."""
+    """Without features that vary too little, are listed, or repeat others. `meta_` columns stay. The table is read four times, and what made it runs once."""
+    df = df.persist()
     features = [f for f in varied_features(df, feature_columns(df, label)) if f not in static_block_list]
     keep = set(features) - correlated_features(df, features)
     return df.select(*(col(c) for c in df.columns if c.startswith("meta_") or c == label or c in keep))
