@@ -41,6 +41,12 @@ def test_pairs_without_a_row_for_each_cell_and_pair(spark, monkeypatch, members)
     assert got == want and len(got) == 3
 
 
+def test_pool_without_a_row_for_each_cell_and_barcode(spark, monkeypatch):
+    df = odd(spark).withColumn("meta_aa_changes", F.when(F.col("meta_aa_changes") == "M2K", "A2A").otherwise(F.col("meta_aa_changes")))
+    got, want = whole(spark, monkeypatch, lambda: models.wild_type_vs_pool(df, "id", min_cells=5, params=P))
+    assert got == want and len(got) == 8 and all(r.error is None and r.n_train > 300 for r in got.values())
+
+
 def test_models_grown_together_are_those_grown_alone():
     rng, groups = np.random.default_rng(6), []
     for i in range(40):
