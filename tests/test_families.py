@@ -78,3 +78,51 @@ def test_a_model_that_fails_and_a_member_outside_memory(monkeypatch):
     none = (bad[0], bad[1][:, :0], bad[2], bad[3])
     got = families._fits(["x", "y"], P, ["k", "none"], [good, none])
     assert got[0] == want[0] and got[1]["error"].startswith("ValueError") and got[1]["n_train"] == want[0]["n_train"]
+
+
+def test_draws_in_step_are_those_of_a_generator():
+    sizes, draws = [1, 40, 40, 333], boosting.Draws(7, 0.5)
+    at, half, rngs = np.zeros(4, np.intp), np.full(4, -1), [np.random.default_rng(7) for _ in sizes]
+    for w, n in [(4, 3), (3, 2), (2, 1), (1, 1), (5, 5), (60, 42), (9, 1)] * 5:
+        draws.reach(int((at + sizes).max()))
+        for i, (a, rng) in enumerate(zip(at, rngs)):
+            assert np.array_equal(draws.hits[a : a + sizes[i]], rng.random(sizes[i]) < 0.5)
+        at += sizes
+        of = np.array([0, 2, 3]) if w == 9 else np.arange(4)  # only some draw
+        cols = np.arange(w) + 100 * of[:, None]
+        assert np.array_equal(draws.columns(cols, n, at, half, of), [np.sort(rngs[i].choice(c, n, replace=False)) for i, c in zip(of, cols)])
+
+
+def test_members_in_order_give_the_same_edges_and_bins(monkeypatch):
+    rng = np.random.default_rng(8)
+
+    def member(n, block):
+        x = rng.normal(size=(n, 3))
+        x[:, 1] = np.round(x[:, 1], 1)
+        x[rng.random((n, 3)) < [0, 0.1, 1]] = np.nan  # whole, with gaps, none
+        rows = pa.RecordBatch.from_arrays([pa.array([f"m{n}"] * n), pa.array([""] * n), pa.array(rng.integers(0, 1 << 60, n)), *map(pa.array, x.T)], list("kndxyz"))
+        sent = [pa.RecordBatch.from_arrays([*b.columns, pa.array([0]), pa.array([0])], [*b.schema.names, "block", "task"]) for b in packed.pack(3)([rows])]
+        with monkeypatch.context() as m:
+            if block:
+                m.setattr(families, "HELD", 0)
+            return families.Member(iter(sent), 3)
+    for a, b in ((90, 70), (1, 2), (700, 3)):
+        state = rng.bit_generator.state
+        got = families._group(member(a, False), member(b, False), 3, 64)
+        rng.bit_generator.state = state
+        want = families._group(member(a, True), member(b, True), 3, 64)
+        assert all(np.array_equal(x, y) for x, y in zip(got[0], want[0])) and np.array_equal(got[1], want[1]) and np.array_equal(got[2], want[2]) and got[3] == want[3]
+
+
+def test_more_models_than_are_grown_at_a_time_and_without_their_text(monkeypatch):
+    rng, groups = np.random.default_rng(9), []
+    for i in range(50):
+        x, y = rng.normal(size=(60 + 9 * (i % 7), 2)), rng.integers(0, 2, 60 + 9 * (i % 7))
+        x[:, 0] += y * (i % 3)
+        edges = [boosting.edges_of(x[:50, j], 64) for j in range(2)]
+        groups.append((edges, boosting._binned(x, edges, 64), y, [50, 6 * (i % 9 > 0), len(y) - 50 - 6 * (i % 9 > 0)]))
+    keys, p = [f"k{i}" for i in range(50)], boosting.Params(rounds=12)
+    want = [families._fits(["a", "b"], p, [k], [g])[0] for k, g in zip(keys, groups)]
+    monkeypatch.setattr(boosting, "CHUNK", 1)  # 16 at a time
+    assert families._fits(["a", "b"], p, keys, groups) == want
+    assert families._fits(["a", "b"], p, keys, groups, False) == [r | {"model": None, "importance": None} for r in want]
