@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from variantloom.operators import boosting, families, models, packed
+from variantloom.operators import boosting, families, models, packed, pools
 
 from .test_operators import cells
 
@@ -126,3 +126,47 @@ def test_more_models_than_are_grown_at_a_time_and_without_their_text(monkeypatch
     monkeypatch.setattr(boosting, "CHUNK", 1)  # 16 at a time
     assert families._fits(["a", "b"], p, keys, groups) == want
     assert families._fits(["a", "b"], p, keys, groups, False) == [r | {"model": None, "importance": None} for r in want]
+
+
+def test_a_large_pool_is_held_as_numbers_of_its_different_rows(spark, monkeypatch):
+    """Without a draw of rows or columns the models are those of all cells one by one; parts and results are in any case."""
+    p = boosting.Params(rounds=6, subsample=1.0, colsample=1.0)
+    df = odd(spark).withColumn("meta_aa_changes", F.when(F.col("meta_aa_changes") == "M2K", "A2A").otherwise(F.col("meta_aa_changes")))
+    df = df.withColumn("Cells_A", F.round("Cells_A", 1)).withColumn("Cells_B", F.round("Cells_B", 1))
+    run = lambda p: {r.key: r for r in models.wild_type_vs_pool(df, "id", min_cells=5, params=p).collect()}
+    want, drawn, fits = run(p), run(P), []
+    monkeypatch.setattr(families, "CHUNK", 64)
+    monkeypatch.setattr(pools, "counted", lambda *a, f=pools.counted: fits.append(f(*a)) or fits[-1])
+    got, other = run(p), run(P)
+    assert len(fits) == 2 and 0 < fits[0].count() < want[next(iter(want))].n_train and got.keys() == want.keys() == other.keys()
+    for k, r in got.items():
+        w = want[k]
+        assert r.error is None and (r.n_train, r.n_eval, r.n_test) == (w.n_train, w.n_eval, w.n_test) == (other[k].n_train, other[k].n_eval, other[k].n_test)
+        assert [getattr(r, f"{s}_{m}") for s in families.SHARES for m in ("auroc", "accuracy")] == pytest.approx([getattr(w, f"{s}_{m}") for s in families.SHARES for m in ("auroc", "accuracy")])
+        assert r.importance == pytest.approx(w.importance) and abs(other[k].train_auroc - drawn[k].train_auroc) < 0.15
+    assert run(P) == other
+
+
+def test_scores_against_counted_ones():
+    rng = np.random.default_rng(10)
+    for n, digits in ((1, 9), (30, 1), (500, 2), (500, 9), (40, 0)):
+        one, none, counts = np.round(rng.normal(size=n), digits), np.round(rng.normal(size=900) - 0.3, digits), rng.integers(0, 5, 900)
+        y = np.repeat([1, 0], [n, counts.sum()])
+        assert pools.against(one, none, counts) == pytest.approx(boosting.auroc(y, np.concatenate([one, np.repeat(none, counts)])), abs=1e-12)
+        assert pools.against(one, none, counts, 8) == pools.against(one, none, counts)
+    v, c, more = np.sort(rng.normal(size=40)), rng.integers(0, 9, 40), np.sort(rng.normal(size=7))
+    assert np.array_equal(boosting.edges_of_weighted(v, c, more, 16), boosting.edges_of(np.concatenate([np.repeat(v, c), more]), 16))
+
+
+def test_values_that_are_joined_share_a_bin_for_every_member():
+    rng = np.random.default_rng(1)
+    for i in range(60):
+        v = np.unique(np.round(rng.normal(size=rng.integers(1, 3000)), i % 6))
+        n, most = rng.integers(0, 40, len(v)), int(rng.integers(1, 200))
+        run = pools.alike(v, n, most, 64)
+        for shift in (0, 9, -9):
+            edges = boosting.edges_of_weighted(v, n, np.sort(rng.normal(size=rng.integers(0, most + 1)) + shift), 64)
+            bins = np.searchsorted(edges, v)
+            first = np.flatnonzero(np.diff(run, prepend=-1))
+            assert np.array_equal(bins[first][run], bins)
+    assert pools.alike(np.arange(100_000.0), np.full(100_000, 14), 480, 64).max() < 5000
